@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from rooflight.llm import queries_dedup, queries_license, queries_mixing, queries_search, queries_url
+from rooflight.llm import (
+    queries_dedup,
+    queries_language,
+    queries_license,
+    queries_mixing,
+    queries_quality,
+    queries_search,
+    queries_url,
+)
 
-_MODULES = [queries_search, queries_mixing, queries_url, queries_license, queries_dedup]
+_MODULES = [queries_search, queries_mixing, queries_language, queries_url, queries_quality, queries_license, queries_dedup]
 
 
 def queries() -> dict:
