@@ -9,10 +9,11 @@ from rooflight.llm import (
     queries_mixing,
     queries_quality,
     queries_search,
+    queries_simhash,
     queries_url,
 )
 
-_MODULES = [queries_search, queries_mixing, queries_language, queries_url, queries_quality, queries_license, queries_dedup]
+_MODULES = [queries_search, queries_mixing, queries_language, queries_url, queries_quality, queries_simhash, queries_license, queries_dedup]
 
 
 def queries() -> dict:
