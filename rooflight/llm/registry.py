@@ -6,6 +6,7 @@ from rooflight.llm import (
     queries_dedup,
     queries_language,
     queries_license,
+    queries_lm,
     queries_mixing,
     queries_quality,
     queries_search,
@@ -13,7 +14,7 @@ from rooflight.llm import (
     queries_url,
 )
 
-_MODULES = [queries_search, queries_mixing, queries_language, queries_url, queries_quality, queries_simhash, queries_license, queries_dedup]
+_MODULES = [queries_search, queries_mixing, queries_language, queries_url, queries_quality, queries_lm, queries_simhash, queries_license, queries_dedup]
 
 
 def queries() -> dict:
