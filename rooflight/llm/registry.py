@@ -8,13 +8,14 @@ from rooflight.llm import (
     queries_license,
     queries_lm,
     queries_mixing,
+    queries_pieces,
     queries_quality,
     queries_search,
     queries_simhash,
     queries_url,
 )
 
-_MODULES = [queries_search, queries_mixing, queries_language, queries_url, queries_quality, queries_lm, queries_simhash, queries_license, queries_dedup]
+_MODULES = [queries_search, queries_mixing, queries_language, queries_url, queries_quality, queries_lm, queries_simhash, queries_license, queries_pieces, queries_dedup]
 
 
 def queries() -> dict:
