@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rooflight.llm.packing import CHUNK_TOKENS, Numbering, chunk_id, expand, squeeze
+from rooflight.llm.packing import Numbering, chunk_id, expand, squeeze
 from rooflight.llm.shared import held_out, written
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -37,6 +37,7 @@ CORE, ASIDE, UNSEEN = 0, 1, 2
 _STEP = 4  # probability ratios are binned in steps of 2 ** (1 / _STEP)
 _NONE = -10_000
 _CHUNK = "chunk long, kind int, docs binary, no_id binary, lengths binary, tokens binary, vocabulary binary, n long"
+CHUNK_TOKENS = 1_200_000
 RANGE_TOKENS = 1_000_000
 
 
