@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into units: a word with the space before it, or a single white-space character; words
-of over ``MAX_UNIT`` characters are cut on. For every distinct unit, all substrings up to the length
+Texts are cut into units: a run of letters or a run of signs, each with the space before it, or a
+single white-space character. Signs are those that no piece has beside a letter or digit, so that
+the cut between them loses no piece. Runs of over ``MAX_UNIT`` characters are cut on. For every distinct unit, all substrings up to the length
 of the longest piece are exploded and equi-joined with the piece table; the matches are the edges of
 the unit's lattice. Grouped by unit, a fold with the higher-order function ``aggregate`` keeps the
 best-scored way to every position (Viterbi), another one walks back. A character without a piece
@@ -21,6 +22,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,6 @@ from rooflight.llm.packing import CHUNK_TOKENS, Numbering, chunk_id, expand, squ
 
 MAX_UNIT = 48
 MARK = "▁"
-_UNIT = regex.compile(rf" ?[^\x20\x09-\x0D]{{1,{MAX_UNIT}}}|[\x20\x09-\x0D]")
 _PACK_ROWS = 400_000
 
 
@@ -59,6 +60,7 @@ class Pieces:
                 self.data.append(text.encode())
                 self.rows.append((text, i, float(score)))
         self.longest = max(len(t) for t, _, _ in self.rows)
+        self.unit = _unit_pattern([t for t, _, _ in self.rows])
         #: Each character given as bytes costs ten more than the worst piece that is in use.
         self.fallback = min(s for _, _, s in self.rows if s > -1e8) - 10
 
@@ -72,9 +74,30 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def units(text: str | None) -> list[str]:
+def _unit_pattern(pieces: list[str]) -> str:
+    """A pattern of units. Runs end between a sign and a character of another kind.
+
+    Signs are the characters, neither letter, digit nor white space, that no piece has beside a letter
+    or digit. The others of their kind (joints) may stand beside either, so that no run ends there.
+    """
+    marks = {c for t in pieces for c in t if not (c.isalnum() or c.isspace() or unicodedata.combining(c))}
+    beside = {c for t in pieces for a, b in zip(t, t[1:], strict=False) for c, d in ((a, b), (b, a)) if c in marks and d not in marks and d != " "}
+    blank, most = r"\x20\x09-\x0D", f"{{1,{MAX_UNIT}}}+"
+
+    def listed(chars: set[str]) -> str:
+        return "".join(rf"\U{ord(c):08x}" for c in sorted(chars))
+
+    signs, joints = listed(marks - beside), listed(beside)
+    if not signs:
+        return rf" ?[^{blank}]{most}|[{blank}]"
+    plain = rf"[^{signs}{joints}{blank}]"
+    mixed = rf" ?[^{blank}](?:(?!(?<=[{signs}]){plain}|(?<={plain})[{signs}])[^{blank}]){{0,{MAX_UNIT - 1}}}"
+    return rf" ?{plain}{most}(?=[{signs}{blank}]|\Z)| ?[{signs}]{most}(?={plain}|[{blank}]|\Z)|{mixed}|[{blank}]"
+
+
+def units(text: str | None, unit: regex.Pattern) -> list[str]:
     """The text, with a space in front, cut into units."""
-    return _UNIT.findall(" " + text) if text else []
+    return unit.findall(" " + text) if text else []
 
 
 def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
@@ -130,9 +153,12 @@ _CHUNK = pa.schema([("chunk", pa.int64()), ("docs", pa.binary()), ("no_id", pa.b
 _CHUNK_DDL = "chunk long, docs binary, no_id binary, lengths binary, checks binary, tokens binary, vocabulary binary, n_units int"
 
 
-def _pack(docs: DataFrame) -> DataFrame:
+def _pack(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    pattern = pieces.unit
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, own, ids, checks = TaskContext.get().partitionId(), 0, Numbering(), [], []
+        unit = regex.compile(pattern)
 
         def close() -> pa.RecordBatch:
             words = "\0".join(own.ids).encode("utf-8", "surrogatepass") if own.ids else b""
@@ -145,7 +171,7 @@ def _pack(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                own.add(units(text))
+                own.add(units(text, unit))
                 ids.append(doc)
                 checks.append(xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")))
                 if own.tokens >= CHUNK_TOKENS:
@@ -170,9 +196,11 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk, vocabulary in zip(batch["chunk"].to_pylist(), batch["vocabulary"].to_pylist(), strict=True):
             words = _unpacked(vocabulary)
+            order = sorted(range(len(words)), key=words.__getitem__)  # alike ones side by side compress better
             for a in range(0, len(words), 50_000):
-                part = words[a : a + 50_000]
-                yield pa.RecordBatch.from_pydict({"unit": part, "chunk": np.full(len(part), chunk, np.int64), "at": np.arange(a, a + len(part), dtype=np.int32)})
+                part = order[a : a + 50_000]
+                use = np.array(part, np.int64) | (chunk << 24)
+                yield pa.RecordBatch.from_pydict({"unit": [words[i] for i in part], "use": use})
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,15 +249,20 @@ def encode_documents(docs: DataFrame, model_file: str | None = None) -> DataFram
     """One row per document: doc_id, n_units, n_pieces, ids, round_trip (do the ids decode to the text?)."""
     pieces = Pieces(model_file or default_model())
     data = docs.sparkSession.sparkContext.broadcast(pieces.data)
-    chunks = _pack(docs).repartition("chunk")
+    chunks = _pack(docs, pieces).repartition("chunk")
+    # A unit's lattice takes tens of times the unit's space: partitions are that much smaller than usual.
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
-        chunks.mapInArrow(_listed, "unit string, chunk long, at int")
+        chunks.mapInArrow(_listed, "unit string, use long")
+        .repartition(parts, "unit")
         .groupBy("unit")
-        .agg(F.collect_list(F.struct("chunk", "at")).alias("uses"))
+        .agg(F.collect_list("use").alias("uses"))
     )
+    use = F.col("use")
     answers = (
         encode_units(found, pieces)
-        .select(F.inline("uses"), "ids")
+        .select(F.explode("uses").alias("use"), "ids")
+        .select(F.shiftright(use, 24).alias("chunk"), use.bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("at"), "ids")
         .mapInArrow(_gathered, "chunk long, at binary, sizes binary, ids binary")
     )
 
