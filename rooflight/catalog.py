@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from rooflight.plans import planes, scalars, surfaces
+
+_MODULES = [planes, scalars, surfaces]
+QUERIES: dict = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
+SQL: dict = {k: s for m in _MODULES for k, s in m.SQL.items()}
 FLAGSHIP = "areal_weighted_mean"
