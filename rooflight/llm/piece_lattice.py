@@ -22,12 +22,12 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -95,7 +95,7 @@ def _unit_pattern(pieces: list[str]) -> str:
     return rf" ?{plain}{most}(?=[{signs}{blank}]|\Z)| ?[{signs}]{most}(?={plain}|[{blank}]|\Z)|{mixed}|[{blank}]"
 
 
-def units(text: str | None, unit: regex.Pattern) -> list[str]:
+def units(text: str | None, unit: re.Pattern) -> list[str]:
     """The text, with a space in front, cut into units."""
     return unit.findall(" " + text) if text else []
 
@@ -158,7 +158,7 @@ def _pack(docs: DataFrame, pieces: Pieces) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, own, ids, checks = TaskContext.get().partitionId(), 0, Numbering(), [], []
-        unit = regex.compile(pattern)
+        unit = re.compile(pattern)
 
         def close() -> pa.RecordBatch:
             words = "\0".join(own.ids).encode("utf-8", "surrogatepass") if own.ids else b""
