@@ -185,15 +185,6 @@ def usability_case(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").selectExpr("vec_id", "embedding[0] AS x", "embedding[2] AS z", f"{asp} AS asp").selectExpr("vec_id", f"{_USABLE} AS verdict")
 
 
-@_query(f"""
-    WITH RECURSIVE n AS (SELECT cx, cy, CAST(cy * 1048576 + cx AS BIGINT) AS p FROM {GRID_SQL} WHERE p_size % 2 = 0),
-    r(p, q) AS (SELECT p, p FROM n UNION SELECT r.p, m.p FROM r JOIN n m ON m.p IN (r.q + 1, r.q - 1, r.q + 1048576, r.q - 1048576))
-    SELECT n.cx, CAST(n.cy AS BIGINT) AS cy, min(q) AS label FROM r JOIN n USING (p) GROUP BY ALL
-""")
-def label_components(spark, sf_dir):
-    return raster.label_components(grid(spark, sf_dir).where("p_size % 2 = 0").select("cx", "cy"))
-
-
 @_query("""
     WITH s AS (SELECT s_suppkey, s_nationkey, s_acctbal, count(*) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal RANGE BETWEEN 900 PRECEDING AND 900 FOLLOWING) >= 3 AS core FROM supplier),
     b AS (SELECT *, (SELECT max(c.s_acctbal) FROM s c WHERE c.core AND c.s_nationkey = s.s_nationkey AND (c.s_acctbal, c.s_suppkey) < (s.s_acctbal, s.s_suppkey)) AS below,
