@@ -116,17 +116,23 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
         distinct.select("unit", *others, F.inline(F.concat(F.flatten(cut), none)))
         .join(pieces.table(distinct.sparkSession), F.col("part") == F.col("piece"))
         .groupBy("unit")
-        .agg(F.collect_list(F.struct("a", "b", "score", "id")).alias("edges"), *[F.first(c).alias(c) for c in others])
+        .agg(F.collect_list(F.struct("b", F.lit(1).alias("real"), "a", "score", "id")).alias("edges"), *[F.first(c).alias(c) for c in others])
     )
 
-    def step(best, i):
-        last = F.struct((F.element_at(best, i).score + pieces.fallback).alias("score"), (i - 1).alias("a"), F.lit(-1).alias("id"))
-        into = F.filter("edges", lambda e: e.b == i)
-        ways = F.transform(into, lambda e: F.struct((F.element_at(best, e.a + 1).score + e.score).alias("score"), e.a.alias("a"), e.id.alias("id")))
-        return F.concat(best, F.array(F.array_max(F.concat(F.array(last), ways))))
+    # In order of their ends, the way through bytes first: each edge opens its end or improves on the last way.
+    through_bytes = F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.struct(i.alias("b"), F.lit(0).alias("real"), (i - 1).alias("a"), F.lit(float(pieces.fallback)).alias("score"), F.lit(-1).alias("id")),
+    )
+    ordered = F.array_sort(F.concat(F.filter("edges", lambda e: e.b > 0), through_bytes))
+
+    def step(best, e):
+        way = F.struct((F.element_at(best, e.a + 1).score + e.score).alias("score"), e.a.alias("a"), e.id.alias("id"))
+        better = F.concat(F.slice(best, F.lit(1), F.size(best) - 1), F.array(way))
+        return F.when(e.real == 0, F.concat(best, F.array(way))).when(way > F.element_at(best, -1), better).otherwise(best)
 
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("a"), F.lit(-1).alias("id")))
-    best = F.aggregate(F.sequence(F.lit(1), n), start, step)
+    best = F.aggregate(ordered, start, step)
     walked = F.aggregate(
         F.sequence(n, F.lit(1), F.lit(-1)),
         F.struct(n.alias("at"), F.array().cast("array<struct<id:int,a:int>>").alias("path")),
