@@ -1,16 +1,17 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into units: a run of letters or a run of signs, each with the space before it, or a
-single white-space character. Signs are those that no piece has beside a letter or digit, so that
-the cut between them loses no piece. Runs of over ``MAX_UNIT`` characters are cut on. For every distinct unit, all substrings up to the length
-of the longest piece are exploded and equi-joined with the piece table; the matches are the edges of
-the unit's lattice. Grouped by unit, a fold with the higher-order function ``aggregate`` keeps the
-best-scored way to every position (Viterbi), another one walks back. A character without a piece
-becomes the pieces of its UTF-8 bytes.
-
-Units are numbered within chunks of texts, and their pieces return to the chunks, so that a word
-travels once per chunk and not once per occurrence. The only thing broadcast is the piece table,
-whose size is that of the tokenizer's file.
+Texts are cut into units: a run without white space of up to ``MAX_UNIT`` characters with the space
+before it, or a single white-space character. Units are cut on into cells, between two characters
+that no piece of the unit can span: their pair is no piece, and no piece has them with the character
+before or after. No lattice edge crosses such a cut, so cells can be solved one by one. For every
+distinct cell, all substrings up to the length of the longest piece are exploded and equi-joined with
+the piece table; the matches are the edges of the cell's lattice. Grouped by cell, a fold with the
+higher-order function ``aggregate`` keeps the best-scored way to every position (Viterbi), another one
+walks back. A character without a piece becomes the pieces of its UTF-8 bytes.
+
+Units are numbered within chunks of texts, cells within chunks of units, and the pieces of cells
+return to the chunks, so that a cell travels once per chunk and not once per occurrence. The only
+thing broadcast is the piece table, whose size is that of the tokenizer's file.
 
 The segmentation is the one of largest summed piece score. A BPE model's own encoder merges pairs
 by rank instead, so that ids may differ from it, whereas decoding always gives the text.
@@ -23,7 +24,6 @@ empty table gives no rows.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from rooflight.llm.packing import CHUNK_TOKENS, Numbering, chunk_id, expand, squeeze
 
-MAX_UNIT = 48
+MAX_UNIT = 96
 MARK = "▁"
 _PACK_ROWS = 400_000
 
@@ -59,8 +59,13 @@ class Pieces:
                 text = piece.replace(MARK, " ")
                 self.data.append(text.encode())
                 self.rows.append((text, i, float(score)))
+        # A unit has white space at its start only: other pieces match none.
+        self.rows = [r for r in self.rows if " " not in r[0][1:] and not (len(r[0]) > 1 and re.search(r"[\t-\r]", r[0]))]
         self.longest = max(len(t) for t, _, _ in self.rows)
-        self.unit = _unit_pattern([t for t, _, _ in self.rows])
+        self.unit = rf" ?[^\x20\x09-\x0D]{{1,{MAX_UNIT}}}|[\x20\x09-\x0D]"
+        texts = {t for t, _, _ in self.rows}
+        self.pairs = _codes({t for t in texts if len(t) == 2})
+        self.triples = _codes({t[i : i + 3] for t in texts for i in range(len(t) - 2)})
         #: Each character given as bytes costs ten more than the worst piece that is in use.
         self.fallback = min(s for _, _, s in self.rows if s > -1e8) - 10
 
@@ -74,25 +79,41 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _unit_pattern(pieces: list[str]) -> str:
-    """A pattern of units. Runs end between a sign and a character of another kind.
+def _codes(texts: set[str]) -> np.ndarray:
+    """Texts of up to three characters as sorted numbers."""
+    return np.array(sorted(_code(*map(ord, t)) for t in texts) or [-1], np.int64)
 
-    Signs are the characters, neither letter, digit nor white space, that no piece has beside a letter
-    or digit. The others of their kind (joints) may stand beside either, so that no run ends there.
-    """
-    marks = {c for t in pieces for c in t if not (c.isalnum() or c.isspace() or unicodedata.combining(c))}
-    beside = {c for t in pieces for a, b in zip(t, t[1:], strict=False) for c, d in ((a, b), (b, a)) if c in marks and d not in marks and d != " "}
-    blank, most = r"\x20\x09-\x0D", f"{{1,{MAX_UNIT}}}+"
 
-    def listed(chars: set[str]) -> str:
-        return "".join(rf"\U{ord(c):08x}" for c in sorted(chars))
+def _code(first, *others):
+    for c in others:
+        first = first << 21 | c
+    return first
+
+
+def _among(x: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return table[np.minimum(np.searchsorted(table, x), len(table) - 1)] == x
+
 
-    signs, joints = listed(marks - beside), listed(beside)
-    if not signs:
-        return rf" ?[^{blank}]{most}|[{blank}]"
-    plain = rf"[^{signs}{joints}{blank}]"
-    mixed = rf" ?[^{blank}](?:(?!(?<=[{signs}]){plain}|(?<={plain})[{signs}])[^{blank}]){{0,{MAX_UNIT - 1}}}"
-    return rf" ?{plain}{most}(?=[{signs}{blank}]|\Z)| ?[{signs}]{most}(?={plain}|[{blank}]|\Z)|{mixed}|[{blank}]"
+def cells(words: list[str], pairs: np.ndarray, triples: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The cells of units, one unit's after the other's, and how many each unit has."""
+    if not words:
+        return [], np.empty(0, np.int64)
+    joined = "".join(words)
+    c = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    border = np.zeros(len(c) + 1, bool)  # border[i]: do units part before character i?
+    border[0] = border[ends] = True
+    at = 1 + np.flatnonzero(~_among(_code(c[:-1], c[1:]), pairs) & ~border[1:-1])
+    for left in (2, 1):  # triples with so many characters before the cut
+        inside = (at >= left) & (at + 3 - left <= len(c))
+        first = np.where(inside, at - left, 0)
+        inside &= ~border[np.where(inside, first + 1, 0)] & ~border[np.where(inside, first + 2, 0)]
+        at = at[~(inside & _among(_code(c[first], c[np.minimum(first + 1, len(c) - 1)], c[np.minimum(first + 2, len(c) - 1)]), triples))]
+    border[at] = True
+    cuts = np.flatnonzero(border)
+    parts = [joined[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    upto = np.searchsorted(cuts, ends)
+    return parts, np.diff(upto, prepend=0)
 
 
 def units(text: str | None, unit: re.Pattern) -> list[str]:
@@ -101,7 +122,12 @@ def units(text: str | None, unit: re.Pattern) -> list[str]:
 
 
 def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
-    """Add ``ids`` to rows with a distinct ``unit`` each; further columns stay."""
+    """Add ``ids`` to rows with a distinct ``unit`` each; further columns stay.
+
+    Rows must be hash partitioned by ``unit``. They are grouped by their number as well, whose order
+    is that of the exploded rows: the sort before the grouping finds them in order. Only a unit's
+    last row carries the further columns.
+    """
     others = [c for c in distinct.columns if c != "unit"]
     n = F.length("unit")
     cut = F.transform(
@@ -113,10 +139,12 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     )
     none = F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit("").alias("part")))  # each unit has a row that matches
     edges = (
-        distinct.select("unit", *others, F.inline(F.concat(F.flatten(cut), none)))
+        distinct.withColumn("row", F.monotonically_increasing_id())
+        .select("row", "unit", *others, F.inline(F.concat(F.flatten(cut), none)))
         .join(pieces.table(distinct.sparkSession), F.col("part") == F.col("piece"))
-        .groupBy("unit")
-        .agg(F.collect_list(F.struct("a", "b", "score", "id")).alias("edges"), *[F.first(c).alias(c) for c in others])
+        .select("row", "unit", F.struct("a", "b", "score", "id").alias("edge"), *[F.when(F.col("b") == 0, F.col(c)).alias(c) for c in others])
+        .groupBy("row", "unit")
+        .agg(F.collect_list("edge").alias("edges"), *[F.first(c, ignorenulls=True).alias(c) for c in others])
     )
 
     def step(best, i):
@@ -149,24 +177,27 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     return edges.select("unit", *others, best.alias("best")).withColumn("path", walked.path).select("unit", *others, ids.alias("ids"))
 
 
-_CHUNK = pa.schema([("chunk", pa.int64()), ("docs", pa.binary()), ("no_id", pa.binary()), ("lengths", pa.binary()), ("checks", pa.binary()), ("tokens", pa.binary()), ("vocabulary", pa.binary()), ("n_units", pa.int32())])
-_CHUNK_DDL = "chunk long, docs binary, no_id binary, lengths binary, checks binary, tokens binary, vocabulary binary, n_units int"
+_CHUNK = pa.schema([("chunk", pa.int64()), ("docs", pa.binary()), ("no_id", pa.binary()), ("lengths", pa.binary()), ("checks", pa.binary()), ("tokens", pa.binary()), ("parts", pa.binary()), ("counts", pa.binary()), ("vocabulary", pa.binary()), ("n_cells", pa.int32())])
+_CHUNK_DDL = "chunk long, docs binary, no_id binary, lengths binary, checks binary, tokens binary, parts binary, counts binary, vocabulary binary, n_cells int"
 
 
 def _pack(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    pattern = pieces.unit
+    pattern, pairs, triples = pieces.unit, pieces.pairs, pieces.triples
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, own, ids, checks = TaskContext.get().partitionId(), 0, Numbering(), [], []
         unit = re.compile(pattern)
 
         def close() -> pa.RecordBatch:
-            words = "\0".join(own.ids).encode("utf-8", "surrogatepass") if own.ids else b""
-            # NUL would end a unit early: units are parted by their lengths as well
-            sizes = np.array([len(u.encode("utf-8", "surrogatepass")) for u in own.ids], np.int32)
-            listed = squeeze(np.frombuffer(words, np.uint8)) if words else squeeze(np.empty(0, np.uint8))
-            vocabulary = len(squeezed := squeeze(sizes)).to_bytes(8, "little") + squeezed + listed
-            row = [chunk_id(part, number), np.array([d or 0 for d in ids], np.int64).tobytes(), np.array([d is None for d in ids], bool).tobytes(), own.lengths().tobytes(), np.array(checks, np.uint64).tobytes(), squeeze(own.numbers()), vocabulary, len(own.ids)]
+            cut, counts = cells(list(own.ids), pairs, triples)
+            listed = sorted(set(cut))  # alike ones side by side compress better
+            place = {c: i for i, c in enumerate(listed)}
+            parts = np.fromiter(map(place.__getitem__, cut), np.int32, len(cut))
+            encoded = [c.encode("utf-8", "surrogatepass") for c in listed]
+            # a cell may hold any character: they are parted by their lengths
+            sizes = squeeze(np.array([len(c) for c in encoded], np.int32))
+            vocabulary = len(sizes).to_bytes(8, "little") + sizes + squeeze(np.frombuffer(b"".join(encoded), np.uint8))
+            row = [chunk_id(part, number), np.array([d or 0 for d in ids], np.int64).tobytes(), np.array([d is None for d in ids], bool).tobytes(), own.lengths().tobytes(), np.array(checks, np.uint64).tobytes(), squeeze(own.numbers()), squeeze(parts), squeeze(counts.astype(np.int32)), vocabulary, len(listed)]
             return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
 
         for batch in batches:
@@ -187,20 +218,18 @@ def _unpacked(vocabulary: bytes) -> list[str]:
     n = int.from_bytes(vocabulary[:8], "little")
     sizes = expand(vocabulary[8 : 8 + n], np.int32)
     data = expand(vocabulary[8 + n :], np.uint8).tobytes()
-    ends = np.cumsum(sizes + 1) - 1
+    ends = np.cumsum(sizes)
     return [data[e - s : e].decode("utf-8", "surrogatepass") for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each distinct unit of a chunk."""
+    """A row for each distinct cell of a chunk."""
     for batch in batches:
         for chunk, vocabulary in zip(batch["chunk"].to_pylist(), batch["vocabulary"].to_pylist(), strict=True):
             words = _unpacked(vocabulary)
-            order = sorted(range(len(words)), key=words.__getitem__)  # alike ones side by side compress better
             for a in range(0, len(words), 50_000):
-                part = order[a : a + 50_000]
-                use = np.array(part, np.int64) | (chunk << 24)
-                yield pa.RecordBatch.from_pydict({"unit": [words[i] for i in part], "use": use})
+                part = words[a : a + 50_000]
+                yield pa.RecordBatch.from_pydict({"unit": part, "use": np.arange(a, a + len(part), dtype=np.int64) | (chunk << 24)})
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,10 +300,15 @@ def encode_documents(docs: DataFrame, model_file: str | None = None) -> DataFram
         at = np.concatenate([expand(x, np.int32) for x in got["at"].to_pylist()] or [np.empty(0, np.int32)])
         sizes = np.concatenate([expand(x, np.int32) for x in got["sizes"].to_pylist()] or [np.empty(0, np.int32)]).astype(np.int64)
         flat = np.concatenate([expand(x, np.int32) for x in got["ids"].to_pylist()] or [np.empty(0, np.int32)])
-        start, size = np.zeros(row["n_units"], np.int64), np.full(row["n_units"], -1, np.int64)
+        start, size = np.zeros(row["n_cells"], np.int64), np.full(row["n_cells"], -1, np.int64)
         start[at], size[at] = np.cumsum(sizes) - sizes, sizes
         if (size < 0).any():
             raise ValueError("a chunk and its answers differ")
+        # the ids of the distinct units, from those of their cells
+        parts, counts = expand(row["parts"], np.int32), expand(row["counts"], np.int32)
+        flat, upto = _take(flat, start[parts], size[parts]), np.concatenate([[0], np.cumsum(size[parts])])
+        cut = upto[np.concatenate([[0], np.cumsum(counts)])]
+        start, size = cut[:-1], np.diff(cut)
         tokens, lengths = expand(row["tokens"], np.int32), np.frombuffer(row["lengths"], np.int64)
         ids = _take(flat, start[tokens], size[tokens])
         upto = np.concatenate([[0], np.cumsum(size[tokens])])
