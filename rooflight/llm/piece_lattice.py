@@ -28,16 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rooflight.llm.packing import CHUNK_TOKENS, Numbering, chunk_id, expand, squeeze
+from rooflight.llm.packing import CHUNK_TOKENS, chunk_id, expand, squeeze
 
 MAX_UNIT = 96
 MARK = "▁"
 _PACK_ROWS = 400_000
+_SLICE_BYTES = 4 << 20
 
 
 class Pieces:
@@ -94,13 +96,14 @@ def _among(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, x), len(table) - 1)] == x
 
 
-def cells(words: list[str], pairs: np.ndarray, triples: np.ndarray) -> tuple[list[str], np.ndarray]:
+def cells(words: pa.StringArray, pairs: np.ndarray, triples: np.ndarray) -> tuple[pa.StringArray, np.ndarray]:
     """The cells of units, one unit's after the other's, and how many each unit has."""
-    if not words:
-        return [], np.empty(0, np.int64)
-    joined = "".join(words)
-    c = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    if not len(words):
+        return pa.array([], pa.string()), np.empty(0, np.int64)
+    offsets, data = _buffers(words)
+    c = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+    place = np.concatenate([[0], np.cumsum(1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000))])  # of characters in the bytes
+    ends = np.searchsorted(place, offsets[1:])
     border = np.zeros(len(c) + 1, bool)  # border[i]: do units part before character i?
     border[0] = border[ends] = True
     at = 1 + np.flatnonzero(~_among(_code(c[:-1], c[1:]), pairs) & ~border[1:-1])
@@ -111,9 +114,43 @@ def cells(words: list[str], pairs: np.ndarray, triples: np.ndarray) -> tuple[lis
         at = at[~(inside & _among(_code(c[first], c[np.minimum(first + 1, len(c) - 1)], c[np.minimum(first + 2, len(c) - 1)]), triples))]
     border[at] = True
     cuts = np.flatnonzero(border)
-    parts = [joined[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    upto = np.searchsorted(cuts, ends)
-    return parts, np.diff(upto, prepend=0)
+    return _strings(place[cuts], data), np.diff(np.searchsorted(cuts, ends), prepend=0)
+
+
+def _buffers(texts: pa.StringArray) -> tuple[np.ndarray, bytes]:
+    """Offsets from 0 and the bytes of an array without nulls."""
+    if not len(texts):
+        return np.zeros(1, np.int64), b""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    held = texts.buffers()[2]
+    return offsets - offsets[0], held[int(offsets[0]) : int(offsets[-1])].to_pybytes() if held else b""
+
+
+def _strings(offsets: np.ndarray, data: bytes) -> pa.StringArray:
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
+
+
+def cut_texts(texts: pa.StringArray, unit: re.Pattern) -> tuple[pa.StringArray, np.ndarray, list[int]]:
+    """The units of all texts, their number by text, and each text's hash; as ``units`` does, on whole arrays."""
+    texts = pc.fill_null(texts, "")
+    spaced = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise("", texts, " "))
+    offsets, data = _buffers(spaced)
+    view = memoryview(data)
+    checks = [xxhash.xxh64_intdigest(view[a + 1 : b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    x = np.frombuffer(data, np.uint8)
+    blank = (x == 32) | ((x >= 9) & (x <= 13))
+    begins = blank.copy()  # white space begins a unit; another character only after white space that is no space
+    begins[1:] |= ~blank[1:] & blank[:-1] & (x[:-1] != 32)
+    at = np.append(np.flatnonzero(begins), len(x))
+    long = np.flatnonzero(np.diff(at) > MAX_UNIT)
+    if len(long):
+        more = []
+        for a, b in zip(at[long].tolist(), at[long + 1].tolist(), strict=True):
+            for u in unit.findall(data[a:b].decode())[:-1]:
+                a += len(u.encode())
+                more.append(a)
+        at = np.union1d(at, np.array(more, np.int64))
+    return _strings(at, data), np.diff(np.searchsorted(at, offsets)), checks
 
 
 def units(text: str | None, unit: re.Pattern) -> list[str]:
@@ -184,51 +221,62 @@ _CHUNK_DDL = "chunk long, docs binary, no_id binary, lengths binary, checks bina
 def _pack(docs: DataFrame, pieces: Pieces) -> DataFrame:
     pattern, pairs, triples = pieces.unit, pieces.pairs, pieces.triples
 
+    def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Rows of at most so many bytes of text together, or one row."""
+        size = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+        a = total = 0
+        for i, n in enumerate(size.tolist()):
+            if i > a and total + n > _SLICE_BYTES:
+                yield batch.slice(a, i - a)
+                a, total = i, 0
+            total += n
+        yield batch.slice(a)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, own, ids, checks = TaskContext.get().partitionId(), 0, Numbering(), [], []
+        part, number, held, n = TaskContext.get().partitionId(), 0, [], 0
         unit = re.compile(pattern)
 
         def close() -> pa.RecordBatch:
-            cut, counts = cells(list(own.ids), pairs, triples)
-            listed = sorted(set(cut))  # alike ones side by side compress better
-            place = {c: i for i, c in enumerate(listed)}
-            parts = np.fromiter(map(place.__getitem__, cut), np.int32, len(cut))
-            encoded = [c.encode("utf-8", "surrogatepass") for c in listed]
+            ids = pa.concat_arrays([h[0] for h in held])
+            coded = pa.concat_arrays([h[1] for h in held]).dictionary_encode()
+            cut, counts = cells(coded.dictionary, pairs, triples)
+            cut = cut.dictionary_encode()
+            order = pc.sort_indices(cut.dictionary).to_numpy()  # alike ones side by side compress better
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
+            offsets, data = _buffers(cut.dictionary.take(pa.array(order)))
             # a cell may hold any character: they are parted by their lengths
-            sizes = squeeze(np.array([len(c) for c in encoded], np.int32))
-            vocabulary = len(sizes).to_bytes(8, "little") + sizes + squeeze(np.frombuffer(b"".join(encoded), np.uint8))
-            row = [chunk_id(part, number), np.array([d or 0 for d in ids], np.int64).tobytes(), np.array([d is None for d in ids], bool).tobytes(), own.lengths().tobytes(), np.array(checks, np.uint64).tobytes(), squeeze(own.numbers()), squeeze(parts), squeeze(counts.astype(np.int32)), vocabulary, len(listed)]
+            sizes = squeeze(np.diff(offsets).astype(np.int32))
+            vocabulary = len(sizes).to_bytes(8, "little") + sizes + squeeze(np.frombuffer(data, np.uint8))
+            lengths, checks = (np.concatenate([h[i] for h in held]) for i in (2, 3))
+            row = [chunk_id(part, number), pc.fill_null(ids, 0).to_numpy().tobytes(), ids.is_null().to_numpy(zero_copy_only=False).tobytes(), lengths.astype(np.int64).tobytes(), checks.tobytes(), squeeze(coded.indices.to_numpy()), squeeze(place[cut.indices.to_numpy()]), squeeze(counts.astype(np.int32)), vocabulary, len(order)]
             return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
 
         for batch in batches:
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                own.add(units(text, unit))
-                ids.append(doc)
-                checks.append(xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")))
-                if own.tokens >= CHUNK_TOKENS:
+            for rows in slices(batch):
+                if not rows.num_rows:
+                    continue
+                words, lengths, checks = cut_texts(rows["text"].cast(pa.string()), unit)
+                held.append((rows["doc_id"].cast(pa.int64()), words, lengths, np.array(checks, np.uint64)))
+                n += len(words)
+                if n >= CHUNK_TOKENS:
                     yield close()
-                    number, own, ids, checks = number + 1, Numbering(), [], []
-        if ids:
+                    number, held, n = number + 1, [], 0
+        if held:
             yield close()
 
     return docs.select("doc_id", "text").mapInArrow(pack, _CHUNK_DDL)
 
 
-def _unpacked(vocabulary: bytes) -> list[str]:
-    n = int.from_bytes(vocabulary[:8], "little")
-    sizes = expand(vocabulary[8 : 8 + n], np.int32)
-    data = expand(vocabulary[8 + n :], np.uint8).tobytes()
-    ends = np.cumsum(sizes)
-    return [data[e - s : e].decode("utf-8", "surrogatepass") for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
-
-
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each distinct cell of a chunk."""
     for batch in batches:
         for chunk, vocabulary in zip(batch["chunk"].to_pylist(), batch["vocabulary"].to_pylist(), strict=True):
-            words = _unpacked(vocabulary)
+            n = int.from_bytes(vocabulary[:8], "little")
+            sizes = expand(vocabulary[8 : 8 + n], np.int32)
+            words = _strings(np.concatenate([[0], np.cumsum(sizes)]), expand(vocabulary[8 + n :], np.uint8).tobytes())
             for a in range(0, len(words), 50_000):
-                part = words[a : a + 50_000]
+                part = words.slice(a, 50_000)
                 yield pa.RecordBatch.from_pydict({"unit": part, "use": np.arange(a, a + len(part), dtype=np.int64) | (chunk << 24)})
 
 
