@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rooflight.functions import angles as a
 from rooflight.functions import grid_reference as g
+from rooflight.functions import projection
 from rooflight.plans.common import CLOCK, CLOCK_SQL, SITE_SQL, chain, chain_sql, clock, site, table
 
 QUERIES, SQL = {}, {}
@@ -19,6 +20,8 @@ def _rounded(names, digits=6):
 
 
 _register("grid_ref", site, SITE_SQL, [(f"ref_{s}", g.reference("e", "n", s)) for s in (100_000, 10_000, 5_000, 1_000)], ["c_custkey", "ref_100000", "ref_10000", "ref_5000", "ref_1000"])
+_airy = [("lat_airy", "degrees(lat0)"), ("lon_airy", "degrees(lon0)")]
+_register("tm_project", site, SITE_SQL, [*projection.inverse_mercator("e", "n"), *_airy, *projection.to_wgs84("lat0", "lon0")], ["c_custkey", *_rounded(["lat_airy", "lon_airy", "lat", "lon"])])
 _parsed = g.parsed("ref")
 _register("grid_ref_parse", site, SITE_SQL, [("ref", g.reference("e", "n", 5_000)), *_parsed.items()], ["c_custkey", "ref", *_parsed])
 _box = "concat('POLYGON((', e0, ' ', n0, ',', e0, ' ', n1, ',', e1, ' ', n1, ',', e1, ' ', n0, ',', e0, ' ', n0, '))')"
