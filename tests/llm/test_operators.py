@@ -7,7 +7,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from rooflight.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, piece_lattice, quality, simhash, topk_search, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, path string"
@@ -163,6 +165,29 @@ def test_pieces(docs, nothing):
     assert piece_lattice.encode_documents(nothing).count() == 0
 
 
+def test_cells_lose_no_piece():
+    pieces = piece_lattice.Pieces(piece_lattice.default_model())
+    known, unit = {t for t, _, _ in pieces.rows}, re.compile(pieces.unit)
+    texts = [*TEXTS, "\x00a b\x00", "é" * 300, "a\n\nb  c " + "x" * 97 + " " + "日本" * 120, "https://ab.example.com/" + "q1-" * 40, "x,y;  (3.14)*** \r\n"]
+    words, lengths, checks = piece_lattice.cut_texts(pa.array(texts), unit)
+    plain = [piece_lattice.units(t, unit) for t in texts]
+    assert words.to_pylist() == [u for t in plain for u in t] and lengths.tolist() == [len(t) for t in plain]
+    assert checks == [xxhash.xxh64_intdigest((t or "").encode()) for t in texts]
+    distinct = words.dictionary_encode().dictionary
+    cells, counts = piece_lattice.cells(distinct, pieces.pairs, pieces.triples)
+    cells, i = cells.to_pylist(), 0
+    for u, n in zip(distinct.to_pylist(), counts.tolist(), strict=True):
+        assert "".join(cells[i : i + n]) == u
+        ends = set(np.cumsum([len(c) for c in cells[i : i + n]]).tolist())
+        for a in range(len(u)):
+            for b in range(a + 2, min(len(u), a + pieces.longest) + 1):
+                assert u[a:b] not in known or not any(a < e < b for e in ends)
+        i += n
+    assert i == len(cells)
+    nothing = piece_lattice.cut_texts(pa.array([None, ""], pa.string()), unit)
+    assert len(nothing[0]) == 0 and nothing[1].tolist() == [0, 0]
+
+
 def test_urls(spark):
     link = '<link rel="canonical" href="{}">'
     rows = [(1, "http://www.example.com/en/1", None), (2, "https://A.Example.com/en/2", ""), (3, "http://x.net/es/", link.format("http://alias.org/a")), (4, "https://alias.org/a?x", None), (5, None, None), (6, "no scheme", "x"), (7, "http://q.org/b", '<meta http-equiv="refresh" content="0; url=/c">'), (8, "http://q.org/c", link.format("http://y.net/fr/1")), (9, "http://y.net/fr/1", link.format("http://ok.com/"))]
