@@ -316,7 +316,10 @@ def _take(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     if not len(size):
         return flat[:0]
     ends = np.cumsum(size)
-    return flat[np.repeat(start - (ends - size), size) + np.arange(ends[-1])]
+    kind = np.int32 if max(len(flat), ends[-1]) < 1 << 31 else np.int64  # the index is the largest array of a chunk
+    index = np.repeat((start - (ends - size)).astype(kind), size)
+    index += np.arange(ends[-1], dtype=kind)
+    return flat[index]
 
 
 _RESULT = "doc_id long, n_units long, n_pieces long, ids array<int>, round_trip boolean"
