@@ -1,0 +1,163 @@
+"""Near copies by Jaccard similarity of word shingles: one document of each component stays.
+
+Two texts are near copies if the sets of their five-word shingles (ASCII case folded, white space
+as in all contracts) have a Jaccard similarity of 0.8 or more. Candidates come from 32 bands of four
+minwise hashes each: a pair at exactly 0.8 shares a band with probability 1 - (1 - 0.8**4)**32, that
+is all but 5 in 100 million, and less alike ones are dropped by size and then by the exact similarity
+of the whole sets. Everything works on distinct sets; components are found by star contraction.
+
+Edge cases: fewer than five words make one shingle; texts without words (or null) are alike; extra
+columns are kept; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
+
+from rooflight.llm.shared import connected_components, written
+
+SHINGLE = 5
+#: The least similarity of near copies, as a fraction.
+ALIKE = (4, 5)
+SEED = 42
+BANDS, BAND_ROWS = 32, 4
+_random = np.random.default_rng(SEED)
+_FACTORS = _random.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = _random.integers(0, 1 << 63, (BANDS, BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_PIECE = 1 << 12
+_ROWS = 1 << 18
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The sorted distinct hashes of the text's shingles."""
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    if not words:
+        return np.empty(0, np.uint64)
+    joined = b" ".join(words)
+    size = min(SHINGLE, len(words))
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate([[0], ends[:-size]]).tolist()
+    stops = (ends[size - 1 :] - 1).tolist()
+    hash_ = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((hash_(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One key per band: equal where the four smallest hashes of the band are equal."""
+    low = np.full(len(_FACTORS), (1 << 64) - 1, np.uint64)
+    for a in range(0, len(hashes), _PIECE):
+        np.minimum(low, (hashes[a : a + _PIECE, None] * _FACTORS).min(axis=0), out=low)
+    return ((low.reshape(BANDS, BAND_ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return ALIKE[1] * both >= ALIKE[0] * (len(a) + len(b) - both)
+
+
+def with_set(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs``, ``near_set`` (hash of the set of shingles), ``near_size`` and ``near_bands``."""
+    at = docs.columns.index("text")
+    more = [("near_set", pa.int64()), ("near_size", pa.int64()), ("near_bands", pa.list_(pa.int64()))]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t) for t in batch.column(at).to_pylist()]
+            names = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], np.uint64).view(np.int64)
+            keys = np.concatenate([band_keys(h) for h in found] or [np.empty(0, np.int64)])
+            bands = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32), keys)
+            arrays = [pa.array(names), pa.array([len(h) for h in found], pa.int64()), bands]
+            schema = batch.schema
+            for name, kind in more:
+                schema = schema.append(pa.field(name, kind))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], schema=schema)
+
+    schema = StructType([*docs.schema.fields]).add("near_set", LongType()).add("near_size", LongType()).add("near_bands", ArrayType(LongType()))
+    return docs.mapInArrow(add, schema)
+
+
+def _candidates(key: np.ndarray, size: np.ndarray, name: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of one key whose sizes allow the similarity; rows are sorted by key and size."""
+    at, step = np.arange(len(key)), 1
+    while len(at := at[at < len(key) - step]):
+        at = at[(key[at] == key[at + step]) & (ALIKE[1] * size[at] >= ALIKE[0] * size[at + step])]
+        if len(at):
+            a, b = name[at], name[at + step]
+            yield pa.RecordBatch.from_pydict({"src": np.minimum(a, b), "dst": np.maximum(a, b)})
+        step += 1
+
+
+def links(tagged: DataFrame) -> DataFrame:
+    """(src, dst): the pairs of distinct ``near_set`` that are near copies. ``tagged``: as of with_set."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, limit = [], 0, _ROWS
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, rows
+            key, size, name = (np.concatenate(x) for x in zip(*held, strict=True))
+            cut = len(key) if last else int(np.searchsorted(key, key[-1]))
+            held, rows = [(key[cut:], size[cut:], name[cut:])], len(key) - cut
+            yield from _candidates(key[:cut], size[:cut], name[:cut])
+
+        for batch in batches:
+            held.append(tuple(batch[c].to_numpy() for c in ("key", "near_size", "near_set")))
+            rows += batch.num_rows
+            if rows >= limit:
+                yield from flush(False)
+                limit = _ROWS + 2 * rows
+        if rows:
+            yield from flush(True)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = zip(batch["src_text"].to_pylist(), batch["dst_text"].to_pylist(), strict=True)
+            good = pa.array([alike(shingles(a), shingles(b)) for a, b in texts], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch["src"], batch["dst"]], names=["src", "dst"]).filter(good)
+
+    sets = tagged.groupBy("near_set", "near_size").agg(F.first("near_bands").alias("near_bands"))
+    keyed = sets.select(F.explode("near_bands").alias("key"), "near_size", "near_set")
+    pairs = keyed.repartition("key").sortWithinPartitions("key", "near_size").mapInArrow(compare, "src long, dst long").distinct()
+    pairs = written(pairs, "pairs")
+    named = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    texts = tagged.join(named, F.col("near_set") == F.col("node"), "left_semi").groupBy("near_set").agg(F.min("text").alias("text"))
+    texts = written(texts, "texts")
+    src = texts.select(F.col("near_set").alias("src"), F.col("text").alias("src_text"))
+    dst = texts.select(F.col("near_set").alias("dst"), F.col("text").alias("dst_text"))
+    return pairs.join(src, "src").join(dst, "dst").select("src", "dst", "src_text", "dst_text").mapInArrow(verify, "src long, dst long")
+
+
+def components(tagged: DataFrame) -> DataFrame:
+    """(fp, component_id) of every distinct set of ``tagged``; the id is the smallest of the component's rows."""
+    low = written(tagged.groupBy(F.col("near_set").alias("fp")).agg(F.min("doc_id").alias("low")), "sets")
+    reached = written(connected_components(written(links(tagged), "links")), "reached")
+    ids = reached.join(low, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("low").alias("component_id"))
+    linked = reached.join(ids, "component").select("node", "component_id")
+    return low.join(linked, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
+
+
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` of each component, that of the smallest id; columns unchanged."""
+    bare = docs.select(*[F.col(f"`{c}`") for c in docs.columns])
+    tagged = written(with_set(bare), "shingled")
+    small = tagged.select("doc_id", "near_set")
+    found = components(tagged)
+    stay = small.join(found, F.col("near_set") == F.col("fp")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = written(stay.groupBy("doc_id", "component_id").agg(F.min("fp").alias("fp"), F.count("*").alias("n")), "stay")
+    kept = tagged.join(
+        stay.select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp")),
+        tagged["doc_id"].eqNullSafe(F.col("stay_id")) & (tagged["near_set"] == F.col("stay_fp")),
+        "left_semi",
+    )
+    if stay.where("n > 1").limit(1).count():
+        kept = kept.groupBy("doc_id", "near_set").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*")
+        return kept
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

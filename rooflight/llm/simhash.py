@@ -222,22 +222,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return tagged.join(found, F.col("simhash_print") == F.col("fp")).select(
         "doc_id", F.lpad(F.lower(F.hex("simhash_print")), 16, "0").alias("fingerprint"), "component_id"
     )
-
-
-def keep_one_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` of each component, that of the smallest id; columns unchanged."""
-    bare = docs.select(*[F.col(f"`{c}`") for c in docs.columns])
-    tagged = written(with_fingerprint(bare), "fingerprinted")
-    small = tagged.select("doc_id", "simhash_print")
-    found = components(small)
-    stay = small.join(found, F.col("simhash_print") == F.col("fp")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = written(stay.groupBy("doc_id", "component_id").agg(F.min("fp").alias("fp"), F.count("*").alias("n")), "stay")
-    kept = tagged.join(
-        stay.select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp")),
-        tagged["doc_id"].eqNullSafe(F.col("stay_id")) & (tagged["simhash_print"] == F.col("stay_fp")),
-        "left_semi",
-    )
-    if stay.where("n > 1").limit(1).count():
-        kept = kept.groupBy("doc_id", "simhash_print").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*")
-        return kept
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from rooflight.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, piece_lattice, quality, simhash, topk_search, url_filter
+from rooflight.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, near_copies, piece_lattice, quality, simhash, topk_search, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, path string"
 LONG = "lorem ipsum " * 3000
@@ -98,6 +98,35 @@ def test_simhash_components(spark, docs, nothing):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def test_near_stage_meets_its_similarity(spark, docs, nothing):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(4000)]
+    base = [list(rng.choice(words, 200)) for _ in range(30)]
+    texts = [" ".join(b) for b in base]
+    for n in (1, 2, 3, 4, 5, 6, 8, 12):
+        for b in base[: 2 * n]:
+            c = list(b)
+            for at in rng.choice(200, n, replace=False):
+                c[at] = "new" + str(rng.integers(1 << 30))
+            texts.append(" ".join(c))
+
+    def grams(t):
+        w = t.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    sets = [grams(t) for t in texts]
+    head = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = head[i], head[j]
+                head = [min(a, b) if h in (a, b) else h for h in head]
+    assert 30 < len(set(head)) < len(texts) - 20
+    out = near_copies.keep_one_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in out.collect()) == sorted(set(head))
+    assert near_copies.keep_one_each(docs).columns == docs.columns and near_copies.keep_one_each(nothing).count() == 0
+
+
 def test_mixing(docs, nothing):
     size = {"a": 100, "b": 10, None: 1}
     t = mixing.fill_targets(size, mixing.rotating(["a", "b", None]))
