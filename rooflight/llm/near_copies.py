@@ -6,8 +6,9 @@ minwise hashes each: a pair at exactly 0.8 shares a band with probability 1 - (1
 is all but 5 in 100 million, and less alike ones are dropped by size and then by the exact similarity
 of the whole sets. Everything works on distinct sets; components are found by star contraction.
 
-Edge cases: fewer than five words make one shingle; texts without words (or null) are alike; extra
-columns are kept; an empty table gives no rows.
+Edge cases: fewer than five words make one shingle; texts without words (or null) are alike; the
+row that stays has the smallest id of its component, null ids last, so that null or repeated ids lose
+no other component; extra columns are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -135,29 +136,19 @@ def links(tagged: DataFrame) -> DataFrame:
     return pairs.join(src, "src").join(dst, "dst").select("src", "dst", "src_text", "dst_text").mapInArrow(verify, "src long, dst long")
 
 
-def components(tagged: DataFrame) -> DataFrame:
-    """(fp, component_id) of every distinct set of ``tagged``; the id is the smallest of the component's rows."""
-    low = written(tagged.groupBy(F.col("near_set").alias("fp")).agg(F.min("doc_id").alias("low")), "sets")
-    reached = written(connected_components(written(links(tagged), "links")), "reached")
-    ids = reached.join(low, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("low").alias("component_id"))
-    linked = reached.join(ids, "component").select("node", "component_id")
-    return low.join(linked, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-
-
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` of each component, that of the smallest id; columns unchanged."""
+    """One row of ``docs`` of each component, that of the smallest id (nulls last); columns unchanged."""
     bare = docs.select(*[F.col(f"`{c}`") for c in docs.columns])
     tagged = written(with_set(bare), "shingled")
-    small = tagged.select("doc_id", "near_set")
-    found = components(tagged)
-    stay = small.join(found, F.col("near_set") == F.col("fp")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = written(stay.groupBy("doc_id", "component_id").agg(F.min("fp").alias("fp"), F.count("*").alias("n")), "stay")
-    kept = tagged.join(
-        stay.select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp")),
-        tagged["doc_id"].eqNullSafe(F.col("stay_id")) & (tagged["near_set"] == F.col("stay_fp")),
-        "left_semi",
+    reached = written(connected_components(written(links(tagged), "links")), "reached")
+    held = (
+        tagged.select("doc_id", "near_set").join(reached, F.col("near_set") == F.col("node"), "left")
+        .groupBy(F.coalesce("component", "near_set").alias("component"), "doc_id", "near_set").agg(F.count("*").alias("n"))
     )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "near_set", "n")).alias("s")
+    stay = written(held.groupBy("component").agg(first).select(F.col("s.doc_id").alias("stay_id"), F.col("s.near_set").alias("stay_set"), "s.n"), "stay")
+    kept = tagged.join(stay.drop("n"), (F.col("near_set") == F.col("stay_set")) & F.col("doc_id").eqNullSafe(F.col("stay_id")), "left_semi")
     if stay.where("n > 1").limit(1).count():
-        kept = kept.groupBy("doc_id", "near_set").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*")
-        return kept
+        row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.coalesce("text", F.lit(""))).alias("row")
+        return kept.groupBy("near_set").agg(row).select("row.*")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

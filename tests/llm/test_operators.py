@@ -127,6 +127,13 @@ def test_near_stage_meets_its_similarity(spark, docs, nothing):
     assert near_copies.keep_one_each(docs).columns == docs.columns and near_copies.keep_one_each(nothing).count() == 0
 
 
+def test_near_stage_with_null_and_repeated_ids(spark):
+    other = [f"{w} " * 3 + f"quite another text of {w} and its {w}" for w in ("oak", "elm", "ash", "fir")]
+    rows = [(None, other[0]), (None, other[1]), (3, other[2]), (3, other[3]), (None, "one two  three"), (7, "one two three"), (8, "a b"), (8, "A b"), (None, "x y"), (None, "x Y")]
+    out = near_copies.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text.lower()) for r in out} == {*rows[:4], rows[5], rows[6], rows[8]} and len(out) == 7
+
+
 def test_mixing(docs, nothing):
     size = {"a": 100, "b": 10, None: 1}
     t = mixing.fill_targets(size, mixing.rotating(["a", "b", None]))
