@@ -1,9 +1,11 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into units: a run without white space of up to ``MAX_UNIT`` characters with the space
-before it, or a single white-space character. Units are cut on into cells, between two characters
-that no piece of the unit can span: their pair is no piece, and no piece has them with the character
-before or after. No lattice edge crosses such a cut, so cells can be solved one by one. For every
+Texts are cut into units: a run without white space with the space before it, or a white-space
+character, and no cut where some piece has the two characters side by side (``;`` and a carriage
+return). Units are cut on into cells, between two characters that no piece of the unit can span: their
+pair is no piece, and no piece has them with the character before or after. No lattice edge crosses
+such a cut, so cells can be solved one by one. The rare cell of more than ``MAX_CELL`` characters is
+solved once by a plain loop and cut where its best way passes, which leaves that way the best one. For every
 distinct cell, all substrings up to the length of the longest piece are exploded and equi-joined with
 the piece table; the matches are the edges of the cell's lattice. Grouped by cell, a fold with the
 higher-order function ``aggregate`` keeps the best-scored way to every position (Viterbi), another one
@@ -24,7 +26,9 @@ empty table gives no rows.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,9 @@ from pyspark.sql import functions as F
 
 from rooflight.llm.packing import CHUNK_TOKENS, chunk_id, expand, squeeze
 
-MAX_UNIT = 96
+MAX_CELL = 96
 MARK = "▁"
+_BLANK = re.compile(r"[\x20\x09-\x0D]")
 _PACK_ROWS = 400_000
 _SLICE_BYTES = 4 << 20
 
@@ -61,15 +66,15 @@ class Pieces:
                 text = piece.replace(MARK, " ")
                 self.data.append(text.encode())
                 self.rows.append((text, i, float(score)))
-        # A unit has white space at its start only: other pieces match none.
-        self.rows = [r for r in self.rows if " " not in r[0][1:] and not (len(r[0]) > 1 and re.search(r"[\t-\r]", r[0]))]
+        #: Each character given as bytes costs ten more than the worst piece that is in use.
+        self.fallback = min(s for _, _, s in self.rows if s > -1e8) - 10
+        # A piece that costs more than the bytes of its characters is in no best way.
+        self.rows = [r for r in self.rows if r[2] >= len(r[0]) * self.fallback]
         self.longest = max(len(t) for t, _, _ in self.rows)
-        self.unit = rf" ?[^\x20\x09-\x0D]{{1,{MAX_UNIT}}}|[\x20\x09-\x0D]"
+        self.unit = _unit({t for t, _, _ in self.rows})
         texts = {t for t, _, _ in self.rows}
         self.pairs = _codes({t for t in texts if len(t) == 2})
         self.triples = _codes({t[i : i + 3] for t in texts for i in range(len(t) - 2)})
-        #: Each character given as bytes costs ten more than the worst piece that is in use.
-        self.fallback = min(s for _, _, s in self.rows if s > -1e8) - 10
 
     def table(self, spark: SparkSession) -> DataFrame:
         return F.broadcast(spark.createDataFrame([*self.rows, ("", -1, 0.0)], "piece string, id int, score double"))
@@ -81,6 +86,61 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _unit(texts: set[str]) -> str:
+    """The pattern of a unit; characters beyond ASCII count as one where they stand beside white space."""
+
+    def kind(c: str) -> str:
+        return re.escape(c) if c.isascii() else "[^\\x00-\\x7F]"
+
+    side = {(kind(t[i]), kind(t[i + 1])) for t in texts for i in range(len(t) - 1) if _BLANK.match(t[i + 1]) or re.match(r"[\t-\r]", t[i])}
+    joined = "".join(f"|(?<={a}){b}" for a, b in sorted(side))
+    return rf"(?s:.)(?:(?<=[^\x09-\x0D])[^\x20\x09-\x0D]{joined})*"
+
+
+@cache
+def _joined(unit: re.Pattern) -> np.ndarray:
+    """[x, y]: is there no cut between bytes x and y, one of them white space?"""
+    seen = [chr(i) for i in range(128)] + ["é"] * 128
+    out = np.zeros((256, 256), bool)
+    for a in range(256):
+        for b in range(256):
+            if _BLANK.match(seen[b]) or _BLANK.match(seen[a]):
+                out[a, b] = unit.fullmatch(seen[a] + seen[b]) is not None
+    return out
+
+
+def short_cells(cut: pa.StringArray, counts: np.ndarray, table: dict, longest: int, fallback: float) -> tuple[pa.StringArray, np.ndarray]:
+    """Cells and their number by unit, cells of more than MAX_CELL characters cut where their best way passes."""
+    long = np.flatnonzero(pc.utf8_length(cut).to_numpy() > MAX_CELL)
+    if not len(long):
+        return cut, counts
+    arrays, done, number = [], 0, np.ones(len(cut), np.int64)
+    for i in long.tolist():
+        parts = _parts(cut[i].as_py(), table, longest, fallback)
+        arrays += [cut.slice(done, i - done), pa.array(parts, pa.string())]
+        number[i], done = len(parts), i + 1
+    return pa.concat_arrays([*arrays, cut.slice(done)]), np.add.reduceat(number, np.cumsum(counts) - counts)
+
+
+def _parts(cell: str, table: dict, longest: int, fallback: float) -> list[str]:
+    best, back = array("d", [0.0]), array("q", [0])
+    for i in range(1, len(cell) + 1):
+        top, at = best[i - 1] + fallback, i - 1
+        for a in range(max(0, i - longest), i):
+            s = table.get(cell[a:i])
+            if s is not None and (best[a] + s, a) >= (top, at):
+                top, at = best[a] + s, a
+        best.append(top)
+        back.append(at)
+    out, end, i = [], len(cell), len(cell)
+    while i:
+        if end - back[i] > MAX_CELL:
+            out.append(cell[i:end])
+            end = i
+        i = back[i]
+    return [cell[:end], *reversed(out)]
+
+
 def _codes(texts: set[str]) -> np.ndarray:
     """Texts of up to three characters as sorted numbers."""
     return np.array(sorted(_code(*map(ord, t)) for t in texts) or [-1], np.int64)
@@ -141,15 +201,10 @@ def cut_texts(texts: pa.StringArray, unit: re.Pattern) -> tuple[pa.StringArray,
     blank = (x == 32) | ((x >= 9) & (x <= 13))
     begins = blank.copy()  # white space begins a unit; another character only after white space that is no space
     begins[1:] |= ~blank[1:] & blank[:-1] & (x[:-1] != 32)
+    may = np.flatnonzero(begins[1:]) + 1
+    begins[may[_joined(unit)[x[may - 1], x[may]]]] = False
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
     at = np.append(np.flatnonzero(begins), len(x))
-    long = np.flatnonzero(np.diff(at) > MAX_UNIT)
-    if len(long):
-        more = []
-        for a, b in zip(at[long].tolist(), at[long + 1].tolist(), strict=True):
-            for u in unit.findall(data[a:b].decode())[:-1]:
-                a += len(u.encode())
-                more.append(a)
-        at = np.union1d(at, np.array(more, np.int64))
     return _strings(at, data), np.diff(np.searchsorted(at, offsets)), checks
 
 
@@ -219,7 +274,8 @@ _CHUNK_DDL = "chunk long, docs binary, no_id binary, lengths binary, checks bina
 
 
 def _pack(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    pattern, pairs, triples = pieces.unit, pieces.pairs, pieces.triples
+    pattern, pairs, triples, longest, fallback = pieces.unit, pieces.pairs, pieces.triples, pieces.longest, pieces.fallback
+    scores = docs.sparkSession.sparkContext.broadcast({t: s for t, _, s in pieces.rows})
 
     def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """Rows of at most so many bytes of text together, or one row."""
@@ -239,7 +295,7 @@ def _pack(docs: DataFrame, pieces: Pieces) -> DataFrame:
         def close() -> pa.RecordBatch:
             ids = pa.concat_arrays([h[0] for h in held])
             coded = pa.concat_arrays([h[1] for h in held]).dictionary_encode()
-            cut, counts = cells(coded.dictionary, pairs, triples)
+            cut, counts = short_cells(*cells(coded.dictionary, pairs, triples), scores.value, longest, fallback)
             cut = cut.dictionary_encode()
             order = pc.sort_indices(cut.dictionary).to_numpy()  # alike ones side by side compress better
             place = np.empty(len(order), np.int32)

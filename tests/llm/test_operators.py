@@ -224,6 +224,37 @@ def test_cells_lose_no_piece():
     assert len(nothing[0]) == 0 and nothing[1].tolist() == [0, 0]
 
 
+def test_pieces_of_whole_texts(spark):
+    pieces = piece_lattice.Pieces(piece_lattice.default_model())
+    import sentencepiece
+
+    model, table = sentencepiece.SentencePieceProcessor(model_file=piece_lattice.default_model()), {}
+    for i in range(model.get_piece_size()):
+        if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+            table[model.id_to_piece(i).replace("▁", " ")] = (model.get_score(i), i)
+    longest = max(map(len, table))
+
+    def best(t):
+        score, back = [0.0], [None]
+        for i in range(1, len(t) + 1):
+            ways = [(score[a] + table[t[a:i]][0], a, table[t[a:i]][1]) for a in range(max(0, i - longest), i) if t[a:i] in table]
+            top = max([(score[i - 1] + pieces.fallback, i - 1, -1), *ways])
+            score.append(top[0])
+            back.append(top[1:])
+        out, i = [], len(t)
+        while i:
+            a, k = back[i]
+            out[:0] = [k] if k >= 0 else [pieces.byte_ids[b] for b in t[a:i].encode()]
+            i = a
+        return out
+
+    texts = ["internationalization" * 8, "https://example.com/" + "path-to/some_page?id=12&x=" * 12, "return x;\r\n}\r\n", "日本語の文章です" * 40, "a  b\t\r\r\n é\r\né;\r", "QUJDREVGR0hJ" * 200, "if (x) {\r\n    y();\r\n    });\r\n"]
+    out = piece_lattice.encode_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert r.round_trip and r.ids == best(" " + texts[r.doc_id])
+
+
 def test_urls(spark):
     link = '<link rel="canonical" href="{}">'
     rows = [(1, "http://www.example.com/en/1", None), (2, "https://A.Example.com/en/2", ""), (3, "http://x.net/es/", link.format("http://alias.org/a")), (4, "https://alias.org/a?x", None), (5, None, None), (6, "no scheme", "x"), (7, "http://q.org/b", '<meta http-equiv="refresh" content="0; url=/c">'), (8, "http://q.org/c", link.format("http://y.net/fr/1")), (9, "http://y.net/fr/1", link.format("http://ok.com/"))]
