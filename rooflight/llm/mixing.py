@@ -123,9 +123,6 @@ def route(capacity: dict[tuple, int], quota: dict, epochs: int = MAX_EPOCHS) ->
             parts[find(p[0])].append(p)
     out = dict.fromkeys(capacity, 0)
     for patterns in parts.values():
-        if len(patterns) == 1 and len(patterns[0]) == 1:
-            out[patterns[0]] = min(quota[patterns[0][0]], epochs * capacity[patterns[0]])
-            continue
         flow, first = _Flow(), {}
         for p in patterns:
             first[p] = [flow.arc("from", ("p", p), capacity[p], k * k) for k in range(1, epochs + 1)]

@@ -151,6 +151,13 @@ def test_mixing(docs, nothing):
     assert mixing.mix_documents(docs).columns == docs.columns and mixing.mix_report(nothing).count() == 0
 
 
+def test_single_sources_go_through_the_flow(monkeypatch):
+    runs, run = [], mixing._Flow.run
+    monkeypatch.setattr(mixing._Flow, "run", lambda *a: runs.append(1) or run(*a))
+    assert mixing.route({("a",): 10, (None,): 4, ("b",): 0}, {"a": 7, None: 30, "b": 5}) == {("a",): 7, (None,): 12, ("b",): 0}
+    assert len(runs) == 3
+
+
 def test_topk(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 6)], 0) for i in range(400)] + [(400, None, 0), (402, [float("nan")] * 6, 0), (50, [1.0, None, 0.0, 0.0, 0.0, 0.0], 0), (None, [1.0] * 6, 0)]
