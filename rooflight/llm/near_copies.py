@@ -1,10 +1,10 @@
 """Near copies by Jaccard similarity of word shingles: one document of each component stays.
 
 Two texts are near copies if the sets of their five-word shingles (ASCII case folded, white space
-as in all contracts) have a Jaccard similarity of 0.8 or more. Candidates come from 32 bands of four
-minwise hashes each: a pair at exactly 0.8 shares a band with probability 1 - (1 - 0.8**4)**32, that
-is all but 5 in 100 million, and less alike ones are dropped by size and then by the exact similarity
-of the whole sets. Everything works on distinct sets; components are found by star contraction.
+as in all contracts) have a Jaccard similarity of 0.8 or more. Candidates come from 40 bands of four
+minwise hashes each: a pair at exactly 0.8 shares two bands or more in all but 2 of 100 million cases
+(each with chance 0.8**4), and less alike ones are dropped by size and then by the exact similarity of
+the whole sets. Everything works on distinct sets; components are found by star contraction.
 
 Edge cases: fewer than five words make one shingle; texts without words (or null) are alike; the
 row that stays has the smallest id of its component, null ids last, so that null or repeated ids lose
@@ -28,13 +28,15 @@ SHINGLE = 5
 #: The least similarity of near copies, as a fraction.
 ALIKE = (4, 5)
 SEED = 42
-BANDS, BAND_ROWS = 32, 4
+BANDS, BAND_ROWS, LEAST_BANDS = 40, 4, 2
 _random = np.random.default_rng(SEED)
 _FACTORS = _random.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = _random.integers(0, 1 << 63, (BANDS, BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PIECE = 1 << 12
 _ROWS = 1 << 18
+#: Sets that a task keeps at hand while it checks pairs.
+_HELD = 256
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -71,11 +73,13 @@ def with_set(docs: DataFrame) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t) for t in batch.column(at).to_pylist()]
-            names = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in found], np.uint64).view(np.int64)
-            keys = np.concatenate([band_keys(h) for h in found] or [np.empty(0, np.int64)])
-            bands = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32), keys)
-            arrays = [pa.array(names), pa.array([len(h) for h in found], pa.int64()), bands]
+            n = batch.num_rows
+            names, sizes, keys = np.empty(n, np.uint64), np.empty(n, np.int64), np.empty((n, BANDS), np.int64)
+            for i, text in enumerate(batch.column(at)):
+                h = shingles(text.as_py())
+                names[i], sizes[i], keys[i] = xxhash.xxh3_64_intdigest(h.tobytes()), len(h), band_keys(h)
+            bands = pa.ListArray.from_arrays(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32), keys.ravel())
+            arrays = [pa.array(names.view(np.int64)), pa.array(sizes), bands]
             schema = batch.schema
             for name, kind in more:
                 schema = schema.append(pa.field(name, kind))
@@ -119,15 +123,24 @@ def links(tagged: DataFrame) -> DataFrame:
             yield from flush(True)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+
+        def known(node: int, text: pa.Scalar) -> np.ndarray:
+            if node not in held:
+                if len(held) == _HELD:
+                    del held[next(iter(held))]
+                held[node] = shingles(text.as_py())
+            return held[node]
+
         for batch in batches:
-            texts = zip(batch["src_text"].to_pylist(), batch["dst_text"].to_pylist(), strict=True)
-            good = pa.array([alike(shingles(a), shingles(b)) for a, b in texts], pa.bool_())
+            ends = zip(batch["src"].to_pylist(), batch["dst"].to_pylist(), batch["src_text"], batch["dst_text"], strict=True)
+            good = pa.array([alike(known(a, x), known(b, y)) for a, b, x, y in ends], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["src"], batch["dst"]], names=["src", "dst"]).filter(good)
 
     sets = tagged.groupBy("near_set", "near_size").agg(F.first("near_bands").alias("near_bands"))
     keyed = sets.select(F.explode("near_bands").alias("key"), "near_size", "near_set")
-    pairs = keyed.repartition("key").sortWithinPartitions("key", "near_size").mapInArrow(compare, "src long, dst long").distinct()
-    pairs = written(pairs, "pairs")
+    pairs = keyed.repartition("key").sortWithinPartitions("key", "near_size").mapInArrow(compare, "src long, dst long")
+    pairs = written(pairs.groupBy("src", "dst").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_BANDS).drop("n"), "pairs")
     named = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     texts = tagged.join(named, F.col("near_set") == F.col("node"), "left_semi").groupBy("near_set").agg(F.min("text").alias("text"))
     texts = written(texts, "texts")
