@@ -12,6 +12,10 @@ table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from urllib.parse import urljoin
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +33,7 @@ RULES = [
 INLINE_RULES = 200
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
+_CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?=[\s/>]))[^>]*>"""
 _REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 
 
@@ -68,30 +72,36 @@ def match_rules(urls: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame
     return urls.join(found, (F.col("host") == F.col("h_")) & (F.col("path") == F.col("p_")), "left").drop("h_", "p_")
 
 
-def _absolute(link, host):
-    link = F.regexp_replace(link, "&amp;", "&")
-    return (
-        F.when(F.contains(link, F.lit("://")), link)
-        .when(F.startswith(link, F.lit("//")), F.concat(F.lit("http:"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(F.lit("http://"), host, link))
-    )
+def _resolved(found: DataFrame) -> DataFrame:
+    """(src, there) of rows src, url, link: links resolved against the page's URL (RFC 3986)."""
+
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            there = []
+            for url, link in zip(batch["url"].to_pylist(), batch["link"].to_pylist(), strict=True):
+                try:
+                    there.append(urljoin(url, link.replace("&amp;", "&")))
+                except ValueError:
+                    there.append(None)
+            yield pa.RecordBatch.from_arrays([batch["src"], pa.array(there, pa.string())], ["src", "there"])
+
+    return found.select("src", "url", "link").mapInArrow(resolve, "src string, there string")
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) of canonical links and refresh redirects in the pages' html, as host and path."""
-    html, host = F.col("html"), host_of("url")
-    tag = F.when(F.contains(F.lower("html"), F.lit("canonical")), F.regexp_extract(html, _CANONICAL, 0))
-    refresh = F.when(F.contains(F.lower("html"), F.lit("http-equiv")), F.regexp_extract(html, _REFRESH, 0))
-    links = F.array(
-        F.regexp_extract(tag, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
-        F.regexp_extract(refresh, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1),
-    )
-    there = _absolute(F.col("link"), F.col("own"))
-    return (
-        pages.select(_node("url").alias("src"), host.alias("own"), F.explode(F.filter(links, lambda x: x > "")).alias("link"))
-        .select("src", _node(there).alias("dst"))
-        .where("src <> '' and dst <> '' and src <> dst")
+    """(src, dst) of all canonical links and refresh redirects in the pages' html, as host and path."""
+    html, none = F.col("html"), F.array().cast("array<string>")
+
+    def targets(word: str, tag: str, link: str):
+        tags = F.regexp_extract_all(html, F.lit(tag), F.lit(0))
+        return F.when(F.contains(F.lower("html"), F.lit(word)), F.transform(tags, lambda t: F.regexp_extract(t, link, 1))).otherwise(none)
+
+    links = F.concat(
+        targets("canonical", _CANONICAL, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"),
+        targets("http-equiv", _REFRESH, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)"),
     )
+    found = pages.select(_node("url").alias("src"), "url", F.explode(F.filter(links, lambda x: x > "")).alias("link")).where("src <> ''")
+    return _resolved(found).select("src", _node("there").alias("dst")).where("dst <> '' and src <> dst")
 
 
 def judge_urls(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:

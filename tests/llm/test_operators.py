@@ -269,6 +269,13 @@ def test_urls(spark):
     assert out == {1: ("www.example.com/en/", "allow"), 2: ("example.com/en/", "block"), 3: ("net/es/", "block"), 4: (None, "block"), 5: (None, "allow"), 6: (None, "allow"), 7: (None, "allow"), 8: (None, "allow"), 9: ("net/fr/", "block")}
 
 
+def test_relative_and_further_links(spark):
+    rows = [(1, "http://y.net/fr/x", None), (2, "http://y.net/a/b/p", '<link rel="canonical" href="../../fr/y">'), (3, "http://ok.org/a/c", '<link rel="alternate canonical" href="http://y.net/fr/x">')]
+    rows += [(4, "http://q.org/d/1", "<link rel=canonical href=http://q.org/d/1><link rel='canonical' href='//y.net/fr/x'>"), (5, "http://q.org/e/1", '<meta http-equiv="refresh" content="0; url=2.html">'), (6, "http://q.org/e/2.html", '<link rel="canonical" href="http://y.net/fr/x">'), (7, "http://q.org/f", '<link rel="canonical-x" href="http://y.net/fr/x">')]
+    out = {r.page_id: r.verdict for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "block", 7: "allow"}
+
+
 def test_language_and_quality(spark, docs, nothing):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     both = language_id.identify(d).join(d.select("doc_id", "lang"), "doc_id").where("held_out").collect()
