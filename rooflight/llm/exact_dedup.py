@@ -5,10 +5,12 @@ A history keeps, for every distinct digest it has seen, one slot of a minimal pe
 digest and the locator of the best row so far. New digests are looked up, byte-compared with the
 slot, and either merged with it (repeats) or grouped among themselves (nonmembers). Histories are
 sharded by digest, a shard has a bounded number of digests, and rows are combined per digest before
-each shuffle, so a digest shared by a third of the corpus costs one row per task.
+each shuffle, so a digest shared by a third of the corpus costs one row per task; where rows meet
+their group again, the few digests that many rows share are broadcast.
 
 Edge cases: a null text is an empty text; null ids lose every tie; among rows alike in length and
-id any one stays, the others are repeats; extra columns are ignored; an empty table gives no rows.
+id any one stays, the others are repeats; whole texts are hashed, however long; extra columns are
+ignored (kept by ``keep_distinct``); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rooflight.llm.shared import BLANK, written
+from rooflight.llm.shared import BLANK, as_row, look_up, written
 
 SHARD_DIGESTS = 65_536
 MIN_SHARDS = 64
@@ -165,13 +167,13 @@ def dedup_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows, groups = exact_dedup(docs)
     shared = groups.where("n > 1").select(
-        F.col("digest").alias("d"), F.col("doc_id").alias("best_id"), F.col("row_uid").alias("best_uid"), "n"
+        "digest", "n", F.col("doc_id").alias("best_id"), F.col("row_uid").alias("best_uid"), F.col("n").alias("size")
     )
-    alone = F.col("d").isNull()
-    return rows.join(shared, F.col("digest") == F.col("d"), "left").select(
+    alone = F.col("size").isNull()
+    return look_up(rows, shared, "digest", rows.count(), "left").select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
-        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+        F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("row_uid") == F.col("best_uid"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
@@ -180,23 +182,23 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 def keep_distinct(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that repeat an earlier text; columns unchanged."""
     rows, groups = exact_dedup(docs)
-    shared = groups.where("n > 1").select(F.col("digest").alias("d"), F.col("row_uid").alias("best_uid"))
-    gone = rows.join(shared, F.col("digest") == F.col("d")).where("row_uid <> best_uid").groupBy("doc_id").agg(F.count("*").alias("n_gone"))
+    shared = groups.where("n > 1").select("digest", "n", F.col("row_uid").alias("best_uid"))
+    gone = look_up(rows, shared, "digest", rows.count()).where("row_uid <> best_uid").groupBy("doc_id").agg(F.count("*").alias("n_gone"))
     left = rows.groupBy("doc_id").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
-    if not left.limit(1).count():
+    if left.isEmpty():
         return docs.join(gone.select("doc_id"), docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    return _keep_repeated_ids(docs, rows, groups)
+    return _keep_repeated_ids(docs, rows.count(), groups)
 
 
-def _keep_repeated_ids(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
+def _keep_repeated_ids(docs: DataFrame, total: int, groups: DataFrame) -> DataFrame:
     """As ids repeat, the text's digest and length tell rows of one id apart; of equal ones one stays."""
     text = F.coalesce("text", F.lit(""))
-    best = groups.select(F.col("digest").alias("d_"), F.col("doc_id").alias("id_"), F.col("neg_len").alias("len_"))
+    best = groups.select("digest", "n", F.col("doc_id").alias("best_id"), F.col("neg_len").alias("best_len"))
     tagged = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col("doc_id").alias("i_"),
-        (-F.length(text)).cast("long").alias("l_"),
-        F.unhex(F.sha2(F.regexp_replace(text, BLANK + "+", "").cast("binary"), 256)).alias("g_"),
+        as_row(docs),
+        F.col("doc_id").alias("own_id"),
+        (-F.length(text)).cast("long").alias("own_len"),
+        F.unhex(F.sha2(F.regexp_replace(text, BLANK + "+", "").cast("binary"), 256)).alias("digest"),
     )
-    kept = tagged.join(best, F.col("g_").eqNullSafe(F.col("d_")) & F.col("i_").eqNullSafe(F.col("id_")) & (F.col("l_") == F.col("len_")), "left_semi")
-    return kept.groupBy("g_", "i_", "l_").agg(F.first("row").alias("row")).select("row.*")
+    kept = look_up(tagged, best, "digest", total).where(F.col("own_id").eqNullSafe(F.col("best_id")) & (F.col("own_len") == F.col("best_len")))
+    return kept.groupBy("digest", "own_id", "own_len").agg(F.first("row").alias("row")).select("row.*")

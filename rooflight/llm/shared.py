@@ -41,6 +41,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_row(df: DataFrame):
+    """All columns of ``df`` as one struct ``row``, so that no name of theirs meets one of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+#: A key is hot if it has more than this share of all rows; there are fewer such keys than its inverse.
+HOT_SHARE = 1 / 2000
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table`` (``key``, ``n``: how many rows have it, further columns); ``n`` is dropped.
+
+    Keys with more than HOT_SHARE of the ``total`` rows, under 2000 whatever the data, are broadcast;
+    the rows of the other keys are shuffled, of which no key has many.
+    """
+    name = F.col(key)
+    hot = F.broadcast(table.where(F.col("n") > max(total * HOT_SHARE, 1)).drop("n"))
+    cold = table.where(F.col("n") <= max(total * HOT_SHARE, 1)).drop("n")
+    common = rows.join(hot, key)
+    others = rows.join(hot.select(name.alias("hot_key")), name == F.col("hot_key"), "left_anti").join(cold, key, how)
+    return common.unionByName(others)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
