@@ -31,9 +31,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
 
-from rooflight.llm.shared import connected_components, written
+from rooflight.llm.shared import connected_components, look_up, written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -158,15 +157,14 @@ def _linked(key: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def with_fingerprint(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` and ``simhash_print`` long."""
-    at = docs.columns.index("text")
+    """(doc_id, simhash_print long) of every row of ``docs``."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(t) for t in batch.column(at).to_pylist()), np.int64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], schema=batch.schema.append(pa.field("simhash_print", pa.int64())))
+            found = np.fromiter((fingerprint(t.as_py()) for t in batch["text"]), np.int64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found)], ["doc_id", "simhash_print"])
 
-    return docs.mapInArrow(add, StructType([*docs.schema.fields]).add("simhash_print", LongType()))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(add, "doc_id long, simhash_print long")
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -207,18 +205,18 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def components(tagged: DataFrame) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint of ``tagged`` (doc_id, simhash_print)."""
-    prints = written(tagged.groupBy(F.col("simhash_print").alias("fp")).agg(F.min("doc_id").alias("low")), "prints")
+    """(fp, n, component_id) of every distinct fingerprint of ``tagged`` (doc_id, simhash_print) and how many rows have it."""
+    prints = written(tagged.groupBy(F.col("simhash_print").alias("fp")).agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "prints")
     reached = written(connected_components(written(links(prints), "links")), "reached")
-    low = reached.join(prints, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("low").alias("component_id"))
-    linked = reached.join(low, "component").select("node", "component_id")
-    return prints.join(linked, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
+    low = reached.join(prints, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("low").alias("component_id"), F.count("*").alias("n"))
+    linked = look_up(reached, written(low, "lowest"), "component", reached.count()).select("node", "component_id")
+    return prints.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "n", F.coalesce("component_id", "low").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint (hex), component_id."""
-    tagged = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "simhash_print"), "fingerprints")
-    found = components(tagged)
-    return tagged.join(found, F.col("simhash_print") == F.col("fp")).select(
-        "doc_id", F.lpad(F.lower(F.hex("simhash_print")), 16, "0").alias("fingerprint"), "component_id"
+    tagged = written(with_fingerprint(docs), "fingerprints")
+    found = written(components(tagged), "components")
+    return look_up(tagged.withColumnRenamed("simhash_print", "fp"), found, "fp", tagged.count()).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
