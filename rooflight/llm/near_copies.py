@@ -8,7 +8,8 @@ the whole sets. Everything works on distinct sets; components are found by star
 
 Edge cases: fewer than five words make one shingle; texts without words (or null) are alike; the
 row that stays has the smallest id of its component, null ids last, so that null or repeated ids lose
-no other component; extra columns are kept; an empty table gives no rows.
+no other component; of rows that share an id and a set the smallest text stays; whole texts are read,
+however long; extra columns, of any name, are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from rooflight.llm.shared import connected_components, written
+from rooflight.llm.shared import as_row, connected_components, look_up, written
 
 SHINGLE = 5
 #: The least similarity of near copies, as a fraction.
@@ -67,15 +68,15 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def with_set(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, ``near_set`` (hash of the set of shingles), ``near_size`` and ``near_bands``."""
-    at = docs.columns.index("text")
+    """``row`` (the columns of ``docs``), ``near_set`` (hash of the set of shingles), ``near_size`` and ``near_bands``."""
+    rows = docs.select(as_row(docs))
     more = [("near_set", pa.int64()), ("near_size", pa.int64()), ("near_bands", pa.list_(pa.int64()))]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             names, sizes, keys = np.empty(n, np.uint64), np.empty(n, np.int64), np.empty((n, BANDS), np.int64)
-            for i, text in enumerate(batch.column(at)):
+            for i, text in enumerate(batch.column(0).field("text")):
                 h = shingles(text.as_py())
                 names[i], sizes[i], keys[i] = xxhash.xxh3_64_intdigest(h.tobytes()), len(h), band_keys(h)
             bands = pa.ListArray.from_arrays(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32), keys.ravel())
@@ -85,8 +86,8 @@ def with_set(docs: DataFrame) -> DataFrame:
                 schema = schema.append(pa.field(name, kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], schema=schema)
 
-    schema = StructType([*docs.schema.fields]).add("near_set", LongType()).add("near_size", LongType()).add("near_bands", ArrayType(LongType()))
-    return docs.mapInArrow(add, schema)
+    schema = StructType([*rows.schema.fields]).add("near_set", LongType()).add("near_size", LongType()).add("near_bands", ArrayType(LongType()))
+    return rows.mapInArrow(add, schema)
 
 
 def _candidates(key: np.ndarray, size: np.ndarray, name: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -142,7 +143,7 @@ def links(tagged: DataFrame) -> DataFrame:
     pairs = keyed.repartition("key").sortWithinPartitions("key", "near_size").mapInArrow(compare, "src long, dst long")
     pairs = written(pairs.groupBy("src", "dst").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_BANDS).drop("n"), "pairs")
     named = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    texts = tagged.join(named, F.col("near_set") == F.col("node"), "left_semi").groupBy("near_set").agg(F.min("text").alias("text"))
+    texts = tagged.join(named, F.col("near_set") == F.col("node"), "left_semi").groupBy("near_set").agg(F.min("row.text").alias("text"))
     texts = written(texts, "texts")
     src = texts.select(F.col("near_set").alias("src"), F.col("text").alias("src_text"))
     dst = texts.select(F.col("near_set").alias("dst"), F.col("text").alias("dst_text"))
@@ -151,17 +152,17 @@ def links(tagged: DataFrame) -> DataFrame:
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` of each component, that of the smallest id (nulls last); columns unchanged."""
-    bare = docs.select(*[F.col(f"`{c}`") for c in docs.columns])
-    tagged = written(with_set(bare), "shingled")
+    tagged = written(with_set(docs), "shingled")
+    total = tagged.count()
     reached = written(connected_components(written(links(tagged), "links")), "reached")
-    held = (
-        tagged.select("doc_id", "near_set").join(reached, F.col("near_set") == F.col("node"), "left")
-        .groupBy(F.coalesce("component", "near_set").alias("component"), "doc_id", "near_set").agg(F.count("*").alias("n"))
-    )
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "near_set", "n")).alias("s")
-    stay = written(held.groupBy("component").agg(first).select(F.col("s.doc_id").alias("stay_id"), F.col("s.near_set").alias("stay_set"), "s.n"), "stay")
-    kept = tagged.join(stay.drop("n"), (F.col("near_set") == F.col("stay_set")) & F.col("doc_id").eqNullSafe(F.col("stay_id")), "left_semi")
-    if stay.where("n > 1").limit(1).count():
-        row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.coalesce("text", F.lit(""))).alias("row")
-        return kept.groupBy("near_set").agg(row).select("row.*")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    sets = tagged.groupBy("near_set").agg(F.count("*").alias("n")).join(reached, F.col("near_set") == F.col("node"), "left")
+    sets = written(sets.select("near_set", "n", F.coalesce("component", "near_set").alias("component")), "sets")
+    rows = look_up(tagged.select(F.col("row.doc_id").alias("doc_id"), "near_set"), sets, "near_set", total)
+    held = rows.groupBy("component", "doc_id", "near_set").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "near_set", "rows")).alias("s")
+    stay = held.groupBy("component").agg(first).select(F.col("s.doc_id").alias("stay_id"), F.col("s.near_set").alias("near_set"), "s.rows")
+    stay = written(stay.join(sets.drop("component"), "near_set"), "stay")
+    kept = look_up(tagged.select("row", "near_set"), stay.drop("rows"), "near_set", total).where(F.col("row.doc_id").eqNullSafe(F.col("stay_id")))
+    if not stay.where("rows > 1").isEmpty():
+        kept = kept.groupBy("near_set").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    return kept.select("row.*")
