@@ -6,11 +6,13 @@ more and more (convex costs), so nothing is repeated that need not be. The graph
 pattern and per source, never per document. Then documents are selected: each is taken as many
 whole times as its pattern's flow allows, and the rest goes to the documents that come first in a
 seeded hash order. That order's cut is found from sums over hash buckets, then within the one bucket
-that holds the cut, so that no task sees a whole pattern.
+that holds the cut, so that no task sees a whole pattern. The flow runs on the driver: its size is that
+of the set of patterns that occur (the mix's own configuration), never that of the documents.
 
 Edge cases: a null text has no words; a null source is a source of its own, last in order; repeated
-rows are documents of their own and, as equals in the seeded order, share a cut word by word; an
-empty table gives no rows; targets of an all-empty corpus are 0.
+rows are documents of their own and, as equals in the seeded order, share a cut word by word; texts
+of any length are counted whole; extra columns, of any name, are kept by ``mix_documents``; an empty
+table gives no rows; targets of an all-empty corpus are 0.
 """
 
 from __future__ import annotations
@@ -23,13 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rooflight.llm.shared import WORD, written
+from rooflight.llm.shared import WORD, as_row, written
 
 MAX_EPOCHS = 3
 SEED = 20_240_601
 WEIGHTS = (5, 2, 1)
 #: Up to so many patterns the decisions (about 100 bytes each) are broadcast; beyond, they are joined.
 BROADCAST_PATTERNS = 50_000
+#: The seeded order is cut in buckets of about so many rows, at least 4096 buckets.
+BUCKET_ROWS = 1 << 18
 
 
 def order_key(source: str | None):
@@ -165,7 +169,8 @@ def plan_mix(sized: DataFrame, weights: Callable[[list], dict] | dict) -> tuple[
     taken = route(capacity, _whole(targets))
     todo = [(list(p), taken[p] // n if n else 0, taken[p] % n if n else 0) for p, n in capacity.items()]
     first = _small(spark.createDataFrame(todo, "pattern array<string>, times long, rest long"), len(todo))
-    keyed = sized.withColumn("h", _seeded()).withColumn("bucket", F.shiftright("h", 52)).withColumn("i", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    bits = max(12, (max(1, sized.count()) // BUCKET_ROWS).bit_length())
+    keyed = sized.withColumn("h", _seeded()).withColumn("bucket", F.shiftright("h", 64 - bits)).withColumn("i", F.coalesce("doc_id", F.lit(-(1 << 63))))
     per_bucket = keyed.groupBy("pattern", "bucket").agg(F.sum("size").alias("n"))
     before = F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     same = F.col("pattern").eqNullSafe(F.col("p"))
@@ -197,13 +202,13 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_PATTERNS else df
 
 
-def _with_decision(docs: DataFrame, patterns: DataFrame, pattern) -> DataFrame:
-    """``docs`` with times, before_cut and at_cut; no other column is added or lost."""
-    p = patterns.select(F.col("pattern").alias("mix_p"), F.col("times").alias("mix_times"), F.col("cut_hash").alias("mix_h"), F.col("cut_id").alias("mix_i"), F.col("cut_words").alias("mix_words"))
+def _with_decision(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, pattern, ...) with times, before_cut, at_cut and cut_words."""
+    p = patterns.select(F.col("pattern").alias("p"), "times", "cut_hash", "cut_id", "cut_words")
     key = F.struct(_seeded().alias("h"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("i"))
-    cut = F.struct(F.col("mix_h").alias("h"), F.col("mix_i").alias("i"))
-    has = F.col("mix_h").isNotNull()
-    return docs.join(p, pattern.eqNullSafe(F.col("mix_p"))).withColumn("mix_before", has & (key < cut)).withColumn("mix_at", has & (key == cut))
+    cut = F.struct(F.col("cut_hash").alias("h"), F.col("cut_id").alias("i"))
+    has = F.col("cut_hash").isNotNull()
+    return rows.join(p, F.col("pattern").eqNullSafe(F.col("p"))).withColumn("before_cut", has & (key < cut)).withColumn("at_cut", has & (key == cut))
 
 
 def rotating(names: list) -> dict:
@@ -214,11 +219,11 @@ def mix_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
     sized = written(docs.select("doc_id", "source", F.array("source").alias("pattern"), word_count().alias("size")), "sizes")
     patterns, sources = plan_mix(sized, rotating)
-    taken = F.col("size") * (F.col("mix_times") + F.col("mix_before").cast("long"))
-    taken += F.when(F.col("mix_at"), F.least("size", "mix_words")).otherwise(0)
+    taken = F.col("size") * (F.col("times") + F.col("before_cut").cast("long"))
+    taken += F.when(F.col("at_cut"), F.least("size", "cut_words")).otherwise(0)
     sources = sources.withColumnRenamed("source", "s")
     return (
-        _with_decision(sized, patterns, F.col("pattern"))
+        _with_decision(sized, patterns)
         .join(sources, F.col("source").eqNullSafe(F.col("s")))
         .select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
     )
@@ -227,13 +232,12 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, pattern=None, weights=rotating) -> DataFrame:
     """The mixed corpus: rows of ``docs`` left out, kept or repeated whole; columns unchanged.
 
-    A document at the cut is taken once more if at least half of it is wanted.
+    ``pattern`` is the array of sources of a row, by default its ``source`` alone. A document at the
+    cut is taken once more if at least half of it is wanted.
     """
-    pattern = F.array("source") if pattern is None else pattern
-    sized = written(docs.select("doc_id", pattern.alias("pattern"), word_count().alias("size")), "sizes")
-    patterns, _ = plan_mix(sized, weights)
-    out = _with_decision(docs, patterns, pattern)
-    half = F.col("mix_at") & (2 * F.col("mix_words") >= word_count())
-    copies = F.col("mix_times") + (F.col("mix_before") | half).cast("long")
-    out = out.withColumn("mix_copies", copies).where("mix_copies > 0")
-    return out.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(as_row(docs), "doc_id", (F.array("source") if pattern is None else pattern).alias("pattern"), word_count().alias("size"))
+    patterns, _ = plan_mix(written(rows.drop("row"), "sizes"), weights)
+    out = _with_decision(rows, patterns)
+    half = F.col("at_cut") & (2 * F.col("cut_words") >= F.col("size"))
+    copies = F.col("times") + (F.col("before_cut") | half).cast("long")
+    return out.withColumn("copies", copies).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
