@@ -6,14 +6,15 @@ to a linear hinge-loss model that dual coordinate descent fits; the weights are
 their mean (so that the scaled features alone, Naive Bayes, keep a say). A logistic curve fitted on
 rows that the model did not see turns margins into scores.
 
-The model is fitted on a bounded sample, ``MAX_FIT_ROWS`` labelled rows that come first in a seeded
-order of ids; every text is scored. Labels other than 0 and 1 are left out; ids labelled more than
+The model is fitted on a bounded sample, ``MAX_FIT_ROWS`` labelled rows (of ``MAX_FIT_FEATURES``
+features together) that come first in a seeded order of ids; every text is scored. Labels other than 0 and 1 are left out; ids labelled more than
 once take the majority, 1 on a tie.
 
 Edge cases: a null or empty text has no features and gets the score of the bias; with no label, or
 labels of one class only, every score is the share of 1 (0.5 without labels); repeated rows are
-scored each; a null id counts as empty text in the fold; extra columns are ignored; an empty table
-gives no rows.
+scored each; a null id counts as empty text in the fold; texts of any length are read whole, in pieces
+that share their borders; extra columns, of any name, are ignored (kept by ``keep_good``); an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-from rooflight.llm.shared import held_out
+from rooflight.llm.shared import as_row, held_out, written
 
+#: The sample that the model is fitted on: rows, and the sum of their features (four bytes each on the driver).
 MAX_FIT_ROWS = 12_000
+MAX_FIT_FEATURES = 24_000_000
 BUCKETS = 1 << 17
 THRESHOLD = 0.3
 SMOOTH, PENALTY, ROUNDS, BLEND = 1.0, 1.0, 30, 0.75
@@ -63,10 +67,12 @@ def features(text: str | None) -> np.ndarray:
     if not data:
         return np.empty(0, np.int32)
     flags = np.zeros(BUCKETS, bool)
+    before = np.empty(0, np.uint8)  # the last three runs of shapes: a run may be of any length
     for a in range(0, len(data), _PIECE):
-        part = data[a : a + _PIECE + 2]
-        raw, shape = np.frombuffer(part, np.uint8), np.frombuffer(part.translate(_SHAPES), np.uint8)
-        for ids in _grams(raw, 1, 3) + _grams(_runs(shape), 2, 4):
+        raw = np.frombuffer(data[a : a + _PIECE + 2], np.uint8)
+        shape = _runs(np.concatenate([before, np.frombuffer(data[a : a + _PIECE].translate(_SHAPES), np.uint8)]))
+        before = shape[-3:]
+        for ids in _grams(raw, 1, 3) + _grams(shape, 2, 4):
             flags[ids.astype(np.int64)] = True
     words = data.split()
     again = np.fromiter((a == b for a, b in zip(words, words[1:], strict=False)), np.uint8, max(0, len(words) - 1))
@@ -168,39 +174,38 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> M
             ids = [features(t).tobytes() for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(ids, pa.binary())], ["doc_id", "label", "ids"])
 
-    joined = docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("label_id")).select("doc_id", "label", "text")
-    rows = sorted(joined.mapInArrow(extract, "doc_id long, label int, ids binary").collect(), key=lambda r: (r.doc_id, bytes(r.ids)))
+    joined = docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("label_id")).select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
+    seen = written(joined.mapInArrow(extract, "doc_id long, label int, ids binary").withColumn("n", F.length("ids") / 4).withColumn("h", F.xxhash64("ids")), "fit-rows")
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
+    sizes = seen.select("doc_id", "h", "n").orderBy(*order).limit(max_rows).collect()  # ids may repeat in docs
+    held = int(np.searchsorted(np.cumsum([r.n for r in sizes]), MAX_FIT_FEATURES, side="right"))
+    rows = sorted(seen.orderBy(*order).limit(max(1, held)).select("doc_id", "label", "ids").collect(), key=lambda r: (r.doc_id, bytes(r.ids)))
     found = [np.frombuffer(r.ids, np.int32) for r in rows]
     mixed = np.random.Generator(np.random.PCG64(2)).permutation(len(rows))
     return fit([found[i] for i in mixed], np.array([rows[i].label for i in mixed], np.int64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and ``quality_score``."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    """(row, quality_score): the columns of ``docs`` as a struct, and the score of its text."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(as_row(docs))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = sent.value
-            scores = [m.score(m.margin(features(t))) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], schema=batch.schema.append(pa.field("quality_score", pa.float64())))
+            scores = [m.score(m.margin(features(t.as_py()))) for t in batch.column(0).field("text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], schema=batch.schema.append(pa.field("quality_score", pa.float64())))
 
-    from pyspark.sql.types import DoubleType, StructType
-
-    schema = StructType([*docs.schema.fields]).add("quality_score", DoubleType())
-    return docs.mapInArrow(each, schema)
+    return rows.mapInArrow(each, StructType([*rows.schema.fields]).add("quality_score", DoubleType()))
 
 
 def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     scored = score(docs.select("doc_id", "text"), train(docs, labels))
     s = F.col("quality_score")
-    return scored.select("doc_id", held_out(5, 0).alias("held_out"), s.alias("score"), (s >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("row.doc_id", held_out(5, 0, "row.doc_id").alias("held_out"), s.alias("score"), (s >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject; columns unchanged."""
-    bare = docs.select(*[F.col(f"`{c}`") for c in docs.columns])
-    return score(bare, train(docs, labels)).where(F.col("quality_score") >= THRESHOLD).drop("quality_score")
+    return score(docs, train(docs, labels)).where(F.col("quality_score") >= THRESHOLD).select("row.*")
