@@ -29,6 +29,7 @@ SEED = 7
 UNKNOWN = "und"
 _PIECE = 1 << 18  # characters bundled at once
 _DOCS = 256
+_GRAMS = 8192  # vectors of distinct trigrams held at once
 
 
 @cache
@@ -91,12 +92,14 @@ def _bundles(texts: list, vectors: LetterVectors) -> np.ndarray:
     """One vector per text."""
     out = np.zeros((len(texts), vectors.dim), np.float32)
     found = [trigrams(t) for t in texts]
-    if any(len(g) for g, _ in found):
-        every = np.unique(np.concatenate([g for g, _ in found]))
-        table = vectors.grams(every)
+    every = np.unique(np.concatenate([g for g, _ in found])) if found else _NONE[0]
+    for k in range(0, len(every), _GRAMS):
+        part = every[k : k + _GRAMS]
+        table = vectors.grams(part)
         for i, (grams, counts) in enumerate(found):
-            if len(grams):
-                out[i] = counts.astype(np.float32) @ table[np.searchsorted(every, grams)]
+            a, b = np.searchsorted(grams, part[0]), np.searchsorted(grams, part[-1], side="right")
+            if a < b:
+                out[i] += counts[a:b].astype(np.float32) @ table[np.searchsorted(part, grams[a:b])]
     return out
 
 
@@ -115,8 +118,8 @@ def learn(docs: DataFrame, dim: int = DIMENSIONS) -> dict[str, np.ndarray]:
                 every, at = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
                 counts = np.bincount(at, np.concatenate([c for _, c in found]))
                 own = sums.setdefault(lang, np.zeros(dim))
-                for a in range(0, len(every), 4096):
-                    own += counts[a : a + 4096] @ vectors.grams(every[a : a + 4096])
+                for a in range(0, len(every), _GRAMS):
+                    own += counts[a : a + _GRAMS] @ vectors.grams(every[a : a + _GRAMS])
         for lang, v in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang] * dim, "at": np.arange(dim, dtype=np.int32), "x": v})
 
