@@ -47,5 +47,11 @@ class Numbering:
         return np.array([len(x) for x in self.texts], np.int64)
 
 
+#: Bits of a chunk's number within its task. A task of more chunks would hold billions of tokens.
+NUMBER_BITS = 12
+
+
 def chunk_id(partition: int, number: int) -> int:
-    return partition << 24 | number
+    if number >> NUMBER_BITS:
+        raise OverflowError("a task has too many chunks: read its table in smaller splits")
+    return partition << NUMBER_BITS | number

@@ -40,6 +40,9 @@ from pyspark.sql import functions as F
 
 from rooflight.llm.packing import CHUNK_TOKENS, chunk_id, expand, squeeze
 
+#: A use of a cell is chunk << CELL_BITS | place in the chunk: room for 2^25 tasks of 2^12 chunks.
+CELL_BITS = 26
+
 MAX_CELL = 96
 MARK = "▁"
 _BLANK = re.compile(r"[\x20\x09-\x0D]")
@@ -324,6 +327,12 @@ def _pack(docs: DataFrame, pieces: Pieces) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(pack, _CHUNK_DDL)
 
 
+def use_of(chunk: int, at: int) -> int:
+    if chunk >> (63 - CELL_BITS) or at >> CELL_BITS:
+        raise OverflowError("too many tasks, or too many distinct cells in a chunk")
+    return chunk << CELL_BITS | at
+
+
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each distinct cell of a chunk."""
     for batch in batches:
@@ -331,9 +340,10 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = int.from_bytes(vocabulary[:8], "little")
             sizes = expand(vocabulary[8 : 8 + n], np.int32)
             words = _strings(np.concatenate([[0], np.cumsum(sizes)]), expand(vocabulary[8 + n :], np.uint8).tobytes())
+            use_of(chunk, len(words))
             for a in range(0, len(words), 50_000):
                 part = words.slice(a, 50_000)
-                yield pa.RecordBatch.from_pydict({"unit": part, "use": np.arange(a, a + len(part), dtype=np.int64) | (chunk << 24)})
+                yield pa.RecordBatch.from_pydict({"unit": part, "use": np.arange(a, a + len(part), dtype=np.int64) | use_of(chunk, 0)})
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,7 +408,7 @@ def encode_documents(docs: DataFrame, model_file: str | None = None) -> DataFram
     answers = (
         encode_units(found, pieces)
         .select(F.explode("uses").alias("use"), "ids")
-        .select(F.shiftright(use, 24).alias("chunk"), use.bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("at"), "ids")
+        .select(F.shiftright(use, CELL_BITS).alias("chunk"), use.bitwiseAND(F.lit((1 << CELL_BITS) - 1)).cast("int").alias("at"), "ids")
         .mapInArrow(_gathered, "chunk long, at binary, sizes binary, ids binary")
     )
 
