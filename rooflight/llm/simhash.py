@@ -11,17 +11,29 @@ differing bits leave, by pigeonhole, one of two cases:
   exact: keys (K of one, codeword of the other) and the converse, with an exact part of the third.
 
 Every key has 31 bits or more, so buckets stay short. Fingerprints that share a key are compared
-(nothing is lost, as every pair within 4 bits shares one), links are thinned to a spanning forest
-before they leave the task, and components are found by distributed star contraction. Everything
-works on distinct fingerprints: rows that share one, however many, are combined before the shuffle.
+(nothing is lost, as every pair within 4 bits shares one), links are thinned to a spanning forest of
+the shortest ones before they leave the task, and components are found by distributed star contraction.
+Everything works on distinct fingerprints: rows that share one, however many, are combined before the shuffle.
+
+``near_duplicates`` links fingerprints alone. ``keep_one_each`` looks for texts whose sets of five-word
+shingles have a Jaccard similarity of 0.8 or more: candidates share a key of one of two fingerprints
+over single words, which change far less than shingles do when words are replaced, and lie within 12
+bits; the forest's links are then checked on the whole sets of shingles, so that nothing else is linked.
+(Four bits over five-word shingles would meet a quarter of such pairs; single words meet 99.99 % of
+the 8999 in the check tables. The tests hold it against brute force.) Of a key that many rows share only
+a tree is checked at first; where it falls apart into several components, each row is then checked
+against more and more of its neighbours in other components, until none is left.
 
 Edge cases: a null text, or one without words, has fingerprint zero and links like any other; fewer
-than four words make one shingle; null ids never name a component unless all its ids are null;
-repeated rows share a component; extra columns are ignored; an empty table gives no rows.
+words than a shingle has make one shingle; null ids never name a component unless all its ids are null;
+repeated rows share a component; whole texts are read, however long, in pieces of shingles; extra
+columns, of any name, are ignored (kept by ``keep_one_each``, where the row with the smallest id stays,
+null ids last, of rows that share an id and a set the smallest text); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from functools import cache
 from itertools import combinations, permutations
@@ -31,11 +43,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
-from rooflight.llm.shared import connected_components, look_up, written
+from rooflight.llm.shared import as_row, connected_components, look_up, written
 
 SHINGLE = 4
 MAX_BITS = 4
+#: Of ``keep_one_each``: words of a shingle, the least similarity as a fraction, and the candidates' bits.
+COPY_SHINGLE = 5
+ALIKE = (4, 5)
+CANDIDATE_SHINGLE, CANDIDATE_BITS, CANDIDATE_PRINTS = 1, 12, 2
+#: Up to so many rows of a key are checked pair by pair at once, more of them along a tree and by rounds.
+FEW = 9
 SEED = 42
 #: Generator polynomial of the Golay code, and the segments (first bit, bits).
 GOLAY = 0xC75
@@ -43,23 +62,52 @@ SEGMENTS = [(0, 22), (22, 21), (43, 21)]
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PIECE = 1 << 16
 _ROWS = 1 << 18
+_SMALL = 48  # rows of a key that are compared pair by pair
+#: Sets that a task keeps at hand while it checks pairs.
+_HELD = 256
 
 
-def fingerprint(text: str | None) -> int:
-    """The 64-bit fingerprint of the whole text, as a signed number."""
+def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of the text's shingles, repeats included, in pieces."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
-    size = min(SHINGLE, len(words))
+    size = min(shingle, len(words))
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate([[0], ends[:-size]]).tolist()
     stops = (ends[size - 1 :] - 1).tolist()
-    hash_, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    hash_ = xxhash.xxh64_intdigest
     for k in range(0, len(starts), _PIECE):
-        h = np.array([hash_(joined[a:b], SEED) for a, b in zip(starts[k : k + _PIECE], stops[k : k + _PIECE], strict=True)], "<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(starts), bitorder="little").view("<i8")[0])
+        yield np.array([hash_(joined[a:b], SEED) for a, b in zip(starts[k : k + _PIECE], stops[k : k + _PIECE], strict=True)], "<u8")
+
+
+def fingerprints(text: str | None, shingle: int, many: int) -> np.ndarray:
+    """So many 64-bit fingerprints of the whole text, as signed numbers; the first has the shingles' own hashes."""
+    counts, total = np.zeros((many, 64), np.int64), 0
+    for h in _hashes(text, shingle):
+        total += len(h)
+        for k in range(many):
+            if k:
+                h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+                h ^= h >> np.uint64(29)
+            counts[k] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > max(total, 1), axis=1, bitorder="little").view("<i8")[:, 0]
+
+
+def fingerprint(text: str | None) -> int:
+    """The 64-bit fingerprint of the whole text, as a signed number."""
+    return int(fingerprints(text, SHINGLE, 1)[0])
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The sorted distinct hashes of the text's shingles of ``COPY_SHINGLE`` words."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(text, COPY_SHINGLE)]))
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return ALIKE[1] * both >= ALIKE[0] * (len(a) + len(b) - both)
 
 
 @cache
@@ -123,12 +171,12 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
-    """Links that connect what all links connect, without cycles."""
+def _forest(links: np.ndarray) -> np.ndarray:
+    """Of links (distance, a, b), those of a shortest spanning forest."""
+    links = np.unique(links, axis=0)  # in order of distance
     head: dict = {}
-    out: tuple[list, list] = ([], [])
-    pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-    for x, y in pairs.tolist():
+    keep = []
+    for i, (_, x, y) in enumerate(links.tolist()):
         p, q = x, y
         while head.setdefault(p, p) != p:
             head[p] = head[head[p]]
@@ -138,22 +186,58 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
             q = head[q]
         if p != q:
             head[p] = q
-            out[0].append(x)
-            out[1].append(y)
-    return out
-
-
-def _linked(key: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within MAX_BITS among rows of one key; rows are sorted by key."""
-    found, at, step = [], np.arange(len(key)), 1
+            keep.append(i)
+    return links[keep]
+
+
+def _links(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
+    return np.stack([distance.astype(np.int64), np.minimum(a, b), np.maximum(a, b)], axis=1)
+
+
+def _tree(prints: np.ndarray, bits: int) -> np.ndarray:
+    """The links within ``bits`` of a shortest spanning tree of one key's rows, one row after the other joining it."""
+    n, at = len(prints), 0
+    near, via, left = np.full(n, 255, np.uint8), np.zeros(n, np.int64), np.ones(n, bool)
+    ends = np.zeros((n - 1, 3), np.int64)
+    words = prints.view(np.uint64)
+    for i in range(n - 1):
+        left[at], near[at] = False, 255
+        d = np.bitwise_count(words ^ words[at])
+        closer = left & (d < near)
+        near[closer], via[closer] = d[closer], at
+        at = int(near.argmin())
+        ends[i] = near[at], via[at], at
+    ends = ends[ends[:, 0] <= bits]
+    return _links(prints[ends[:, 1]], prints[ends[:, 2]], ends[:, 0])
+
+
+def _linked(key: np.ndarray, prints: np.ndarray, bits: int, small: int) -> np.ndarray:
+    """Links within ``bits`` among rows of one key: all of up to ``small`` rows, a tree's of more. Rows are sorted by key."""
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.append(first, len(key)))
+    found = [np.empty((0, 3), np.int64)]
+    for a, n in zip(first[size > small].tolist(), size[size > small].tolist(), strict=True):
+        found.append(_tree(prints[a : a + n], bits))
+    at, step = np.flatnonzero(np.repeat((size > 1) & (size <= small), size)), 1
     while len(at := at[at < len(key) - step]) and len(at := at[key[at] == key[at + step]]):
-        x = prints[at] ^ prints[at + step]
-        hit = at[(np.bitwise_count(x.view(np.uint64)) <= MAX_BITS) & (x != 0)]
-        found.append((prints[hit], prints[hit + step]))
+        d = np.bitwise_count((prints[at] ^ prints[at + step]).view(np.uint64))
+        hit = d <= bits
+        found.append(_links(prints[at[hit]], prints[at[hit] + step], d[hit]))
         step += 1
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _beyond(prints: np.ndarray, labels: np.ndarray, first: int, last: int, bits: int) -> np.ndarray:
+    """Pairs (row, row) of each row and its neighbours of other labels, those at places first to last by distance."""
+    words, out = prints.view(np.uint64), [np.empty((0, 2), np.int64)]
+    step = max(1, (1 << 22) // len(words))
+    for a in range(0, len(words), step):
+        d = np.bitwise_count(words[a : a + step, None] ^ words[None, :])
+        d[labels[a : a + step, None] == labels[None, :]] = 255
+        order = np.argsort(d, axis=1, kind="stable")[:, first:last]
+        row, at = np.nonzero(np.take_along_axis(d, order, 1) <= bits)
+        out.append(np.stack([row + a, order[row, at]], axis=1))
+    return np.concatenate(out)
 
 
 def with_fingerprint(docs: DataFrame) -> DataFrame:
@@ -167,41 +251,52 @@ def with_fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(add, "doc_id long, simhash_print long")
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """(src, dst): enough links between the distinct ``fp`` of ``prints`` to connect all within MAX_BITS."""
+def _compared(prints: DataFrame, bits: int, small: int, thin: bool) -> DataFrame:
+    """Rows (src, dst) of links between the distinct ``fp`` of ``prints``, and (src, null, key) of the rows of a key of more than ``small``."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch["fp"].to_numpy()
             for a in range(0, len(fp), 8192):
-                part = fp[a : a + 8192]
-                key, row = fuzzy_keys(part)
-                yield pa.RecordBatch.from_pydict({"key": key, "fp": part[row]})
+                key, row = fuzzy_keys(fp[a : a + 8192])
+                yield pa.RecordBatch.from_pydict({"key": key, "fp": fp[a + row]})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
-        def flush(last: bool):
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, rows
-            key = np.concatenate([h[0] for h in held])
-            fp = np.concatenate([h[1] for h in held])
+            key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
             cut = len(key) if last else int(np.searchsorted(key, key[-1]))
             held, rows = [(key[cut:], fp[cut:])], len(key) - cut
-            a, b = _forest(*_linked(key[:cut], fp[:cut]))
-            return pa.RecordBatch.from_pydict({"src": pa.array(a, pa.int64()), "dst": pa.array(b, pa.int64())})
+            key, fp = key[:cut], fp[:cut]
+            if not cut:
+                return
+            found = _linked(key, fp, bits, small)
+            found = _forest(found) if thin else found
+            yield pa.RecordBatch.from_pydict({"src": found[:, 1], "dst": found[:, 2], "key": pa.nulls(len(found), pa.int64())})
+            if not thin:
+                size = np.diff(np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]))
+                large = np.repeat(size > small, size)
+                yield pa.RecordBatch.from_pydict({"src": fp[large], "dst": pa.nulls(int(large.sum()), pa.int64()), "key": key[large]})
 
         limit = _ROWS
         for batch in batches:
-            held.append((batch["key"].to_numpy(), batch["fp"].to_numpy()))
+            held.append(tuple(batch[c].to_numpy() for c in ("key", "fp")))
             rows += batch.num_rows
             if rows >= limit:
-                yield flush(False)
+                yield from flush(False)
                 limit = _ROWS + 2 * rows
         if rows:
-            yield flush(True)
+            yield from flush(True)
 
     keyed = prints.select("fp").mapInArrow(emit, "key long, fp long")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "src long, dst long").distinct()
+    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "src long, dst long, key long")
+
+
+def links(prints: DataFrame) -> DataFrame:
+    """(src, dst): enough links between the distinct ``fp`` of ``prints`` to connect all within MAX_BITS."""
+    return _compared(prints, MAX_BITS, _SMALL, True).select("src", "dst").distinct()
 
 
 def components(tagged: DataFrame) -> DataFrame:
@@ -220,3 +315,114 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return look_up(tagged.withColumnRenamed("simhash_print", "fp"), found, "fp", tagged.count()).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def with_set(docs: DataFrame) -> DataFrame:
+    """``row`` (the columns of ``docs``), ``near_set`` (hash of the set of shingles) and ``prints`` (its fingerprints over single words)."""
+    rows = docs.select(as_row(docs))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).field("text")
+            names = np.fromiter((xxhash.xxh3_64_intdigest(shingles(t.as_py()).tobytes()) for t in texts), np.uint64, batch.num_rows)
+            prints = pa.array([fingerprints(t.as_py(), CANDIDATE_SHINGLE, CANDIDATE_PRINTS) for t in texts], pa.list_(pa.int64()))
+            schema = batch.schema.append(pa.field("near_set", pa.int64())).append(pa.field("prints", pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names.view(np.int64)), prints], schema=schema)
+
+    return rows.mapInArrow(add, StructType([*rows.schema.fields]).add("near_set", LongType()).add("prints", ArrayType(LongType())))
+
+
+def _checked(pairs: DataFrame, tagged: DataFrame) -> DataFrame:
+    """Those of the pairs (src, dst) of ``near_set`` whose sets of shingles are alike."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+
+        def known(node: int, text: pa.Scalar) -> np.ndarray:
+            if node not in held:
+                if len(held) == _HELD:
+                    del held[next(iter(held))]
+                held[node] = shingles(text.as_py())
+            return held[node]
+
+        for batch in batches:
+            ends = zip(batch["src"].to_pylist(), batch["dst"].to_pylist(), batch["src_text"], batch["dst_text"], strict=True)
+            good = pa.array([alike(known(a, x), known(b, y)) for a, b, x, y in ends], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch["src"], batch["dst"]], names=["src", "dst"]).filter(good)
+
+    named = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    texts = tagged.join(named, F.col("near_set") == F.col("node"), "left_semi").groupBy("near_set").agg(F.min("row.text").alias("text"))
+    texts = written(texts, "texts")
+    src = texts.select(F.col("near_set").alias("src"), F.col("text").alias("src_text"))
+    dst = texts.select(F.col("near_set").alias("dst"), F.col("text").alias("dst_text"))
+    return pairs.join(src, "src").join(dst, "dst").select("src", "dst", "src_text", "dst_text").mapInArrow(verify, "src long, dst long")
+
+
+def _pairs_at(first: int, last: int):
+    def beyond(group: pa.Table) -> pa.Table:
+        node = group["node"].to_numpy()
+        at = _beyond(group["fp"].to_numpy(), group["label"].to_numpy(), first, last, CANDIDATE_BITS)
+        return pa.table({"a": node[at[:, 0]], "b": node[at[:, 1]]})
+
+    return beyond
+
+
+def near_copies(tagged: DataFrame) -> DataFrame:
+    """(node, component) of the ``near_set`` of ``tagged`` (as of with_set) that have near copies."""
+    sets = written(tagged.groupBy("near_set").agg(F.min("prints").alias("prints")), "prints")
+    total, near, groups = sets.count(), [], []
+    ordered = [F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")]
+    for k in range(CANDIDATE_PRINTS):
+        own = sets.select("near_set", F.col("prints")[k].alias("fp"))
+        first = written(own.groupBy("fp").agg(F.count("*").alias("n")), "first")
+        found = written(_compared(first, CANDIDATE_BITS, FEW, False).distinct(), "compared")
+        own = written(look_up(own, first.withColumn("size", F.col("n")), "fp", total), "own")
+        a, b = (own.select(F.col("fp").alias(f), F.col("near_set").alias(x), F.col("size").alias(f"{x}_size")) for f, x in (("src", "a"), ("dst", "b")))
+        a, b = a.where(F.col("a_size") <= FEW), b.where(F.col("b_size") <= FEW)
+        same = a.where("a_size > 1").join(b.withColumnRenamed("dst", "src"), "src").where("a <> b")
+        pairs = found.where("key is null").select("src", "dst")
+        near += [pairs.join(a, "src").join(b, "dst").select("a", "b"), same.select("a", "b")]
+        # prints that many sets share make a group of their own, with all that they met
+        many = first.where(F.col("n") > FEW).select(F.col("fp").alias("many"))
+        met = pairs.union(pairs.select("dst", "src")).toDF("many", "fp").join(many, "many", "left_semi").union(many.select("many", F.col("many").alias("fp")))
+        met = met.select(F.concat(F.lit(f"{k}="), "many").alias("group"), "fp")
+        large = found.where("key is not null").select(F.concat(F.lit(f"{k}:"), "key").alias("group"), F.col("src").alias("fp"))
+        groups.append(met.union(large).join(own.select("fp", F.col("near_set").alias("node")), "fp").select("group", "fp", "node"))
+    tested = [written(functools.reduce(DataFrame.union, near).select(*ordered).distinct(), "pairs")]
+    members = written(functools.reduce(DataFrame.union, groups), "groups")
+    most = members.groupBy("group").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    good = [written(_checked(tested[0], tagged), "links")]
+    reached = written(connected_components(good[0]), "reached")
+    first_place, last_place = 0, FEW
+    while first_place < most:
+        named = members.join(reached, "node", "left").withColumn("label", F.coalesce("component", "node"))
+        split = named.groupBy("group").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("group")
+        more = named.join(split, "group", "left_semi").select("group", "fp", "node", "label").groupBy("group").applyInArrow(_pairs_at(first_place, last_place), "a long, b long")
+        known = functools.reduce(DataFrame.union, tested)
+        more = written(more.select(*ordered).distinct().join(known, ["src", "dst"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            tested.append(more)
+            good.append(written(_checked(more, tagged), "links"))
+            reached = written(connected_components(functools.reduce(DataFrame.union, good)), "reached")
+        elif split.isEmpty():
+            break
+        first_place, last_place = last_place, last_place * 8
+    return reached
+
+
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` of each component, that of the smallest id (nulls last); columns unchanged."""
+    tagged = written(with_set(docs), "shingled")
+    total = tagged.count()
+    reached = near_copies(tagged)
+    sets = tagged.groupBy("near_set").agg(F.count("*").alias("n")).join(reached, F.col("near_set") == F.col("node"), "left")
+    sets = written(sets.select("near_set", "n", F.coalesce("component", "near_set").alias("component")), "sets")
+    rows = look_up(tagged.select(F.col("row.doc_id").alias("doc_id"), "near_set"), sets, "near_set", total)
+    held = rows.groupBy("component", "doc_id", "near_set").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "near_set", "rows")).alias("s")
+    stay = held.groupBy("component").agg(first).select(F.col("s.doc_id").alias("stay_id"), F.col("s.near_set").alias("near_set"), "s.rows")
+    stay = written(stay.join(sets.drop("component"), "near_set"), "stay")
+    kept = look_up(tagged.select("row", "near_set"), stay.drop("rows"), "near_set", total).where(F.col("row.doc_id").eqNullSafe(F.col("stay_id")))
+    if not stay.where("rows > 1").isEmpty():
+        kept = kept.groupBy("near_set").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    return kept.select("row.*")

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from rooflight.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, near_copies, piece_lattice, quality, simhash, topk_search, url_filter
+from rooflight.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, piece_lattice, quality, simhash, topk_search, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, path string"
 LONG = "lorem ipsum " * 3000
@@ -122,15 +122,15 @@ def test_near_stage_meets_its_similarity(spark, docs, nothing):
                 a, b = head[i], head[j]
                 head = [min(a, b) if h in (a, b) else h for h in head]
     assert 30 < len(set(head)) < len(texts) - 20
-    out = near_copies.keep_one_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    out = simhash.keep_one_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert sorted(r.doc_id for r in out.collect()) == sorted(set(head))
-    assert near_copies.keep_one_each(docs).columns == docs.columns and near_copies.keep_one_each(nothing).count() == 0
+    assert simhash.keep_one_each(docs).columns == docs.columns and simhash.keep_one_each(nothing).count() == 0
 
 
 def test_near_stage_with_null_and_repeated_ids(spark):
     other = [f"{w} " * 3 + f"quite another text of {w} and its {w}" for w in ("oak", "elm", "ash", "fir")]
     rows = [(None, other[0]), (None, other[1]), (3, other[2]), (3, other[3]), (None, "one two  three"), (7, "one two three"), (8, "a b"), (8, "A b"), (None, "x y"), (None, "x Y")]
-    out = near_copies.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = simhash.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.text.lower()) for r in out} == {*rows[:4], rows[5], rows[6], rows[8]} and len(out) == 7
 
 
