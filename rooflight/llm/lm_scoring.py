@@ -12,7 +12,7 @@ text's first token stands its end token, twice: c(end, end) as a context is the
 
 The weights are learned by expectation-maximisation, order by order, on held-out training texts (a
 tenth, by hash) against the counts of the other nine tenths; the scores then use the counts of all
-training texts. In a mixture of two only the ratio of both estimates matters, so that a histogram of
+training texts. In a mixture of two only the ratio of both estimates matters (half a token is added to either's share), so that a histogram of
 that ratio by bucket (in steps of 2^(1/32), each with the mean of its ratios) is all the driver gets:
 its size is fixed, whatever the corpus.
 
@@ -201,15 +201,14 @@ def bucket(context: np.ndarray) -> np.ndarray:
     return np.frexp(context.astype(float))[1]
 
 
-def learn_weights(bins: list[tuple[int, float, float]], rounds: int = 500) -> dict[int, float]:
+def learn_weights(bins: list[tuple[int, float, float]], rounds: int = 2000) -> dict[int, float]:
     """The upper estimate's weight in each bucket, by EM. bins: bucket, ratio of upper to lower estimate, tokens."""
     out = {}
     for b in sorted({x[0] for x in bins}):
         ratio, n = (np.array([x[i] for x in bins if x[0] == b], float) for i in (1, 2))
         w = 0.5
         for _ in range(rounds):
-            new = float((n * (w * ratio / (w * ratio + 1 - w))).sum() / n.sum())
-            new = min(max(new, 1e-6), 1 - 1e-6)
+            new = (float((n * (w * ratio / (w * ratio + 1 - w))).sum()) + 0.5) / (n.sum() + 1)
             w, moved = new, abs(new - w)
             if moved < 1e-9:
                 break
