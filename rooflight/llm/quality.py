@@ -148,7 +148,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
 
     def values(r):
         v = ratio[r]
-        return v / (np.sqrt(v @ v) or 1)
+        return (v / (np.sqrt(v @ v) or 1)).astype(np.float32)
 
     weight, bias = _descend([rows[i] for i in kept], [values(rows[i]) for i in kept], y[kept])
     weight = (1 - BLEND) * np.abs(weight).mean() + BLEND * weight
@@ -177,12 +177,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> M
     joined = docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("label_id")).select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
     seen = written(joined.mapInArrow(extract, "doc_id long, label int, ids binary").withColumn("n", F.length("ids") / 4).withColumn("h", F.xxhash64("ids")), "fit-rows")
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
-    sizes = seen.select("doc_id", "h", "n").orderBy(*order).limit(max_rows).collect()  # ids may repeat in docs
-    held = int(np.searchsorted(np.cumsum([r.n for r in sizes]), MAX_FIT_FEATURES, side="right"))
-    rows = sorted(seen.orderBy(*order).limit(max(1, held)).select("doc_id", "label", "ids").collect(), key=lambda r: (r.doc_id, bytes(r.ids)))
-    found = [np.frombuffer(r.ids, np.int32) for r in rows]
-    mixed = np.random.Generator(np.random.PCG64(2)).permutation(len(rows))
-    return fit([found[i] for i in mixed], np.array([rows[i].label for i in mixed], np.int64))
+    sizes = seen.select("doc_id", "h", "n").orderBy(*order).limit(max_rows).toArrow()["n"].to_numpy()  # ids may repeat in docs
+    held = int(np.searchsorted(np.cumsum(sizes), MAX_FIT_FEATURES, side="right"))
+    table = seen.orderBy(*order).limit(max(1, held)).select("label", "ids").toArrow()  # one copy of the features
+    found = [np.frombuffer(x.as_buffer(), np.int32) for x in table["ids"]]
+    mixed = np.random.Generator(np.random.PCG64(2)).permutation(len(found))
+    return fit([found[i] for i in mixed], table["label"].to_numpy()[mixed].astype(np.int64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

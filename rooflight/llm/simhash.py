@@ -20,9 +20,9 @@ shingles have a Jaccard similarity of 0.8 or more: candidates share a key of one
 their distinct words, which change far less than shingles do when words are replaced, and lie within
 10 bits; they are then checked on the whole sets of shingles, so that nothing else is linked. (Of the
 8999 such pairs in the smaller check table, keys of four-word shingles meet about seven in ten, those
-of distinct words 99.5 %; components miss fewer, as they need not every pair.) Of a key that many
-rows share only a tree is checked at first; where it falls apart into several components, each row is
-then checked against more and more of its neighbours in other components, until none is left.
+of distinct words 99.5 %; components miss fewer, as they need not every pair.) Of a key that more than
+FEW rows share the links of a shortest tree are checked, so that candidates grow with the rows and not
+with the square of a group; such rows meet again under their other keys, of which each has over 200.
 
 Edge cases: a null text, or one without words, has fingerprint zero and links like any other; fewer
 words than a shingle has make one shingle; null ids never name a component unless all its ids are null;
@@ -53,7 +53,7 @@ MAX_BITS = 4
 COPY_SHINGLE = 5
 ALIKE = (4, 5)
 CANDIDATE_BITS, CANDIDATE_PRINTS = 10, 2
-#: Up to so many rows of a key are checked pair by pair at once, more of them along a tree and by rounds.
+#: Up to so many rows of a key are checked pair by pair, more of them along a shortest tree.
 FEW = 9
 SEED = 42
 #: Generator polynomial of the Golay code, and the segments (first bit, bits).
@@ -234,19 +234,6 @@ def _linked(key: np.ndarray, prints: np.ndarray, bits: int, small: int) -> np.nd
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _beyond(prints: np.ndarray, labels: np.ndarray, first: int, last: int, bits: int) -> np.ndarray:
-    """Pairs (row, row) of each row and its neighbours of other labels, those at places first to last by distance."""
-    words, out = prints.view(np.uint64), [np.empty((0, 2), np.int64)]
-    step = max(1, (1 << 22) // len(words))
-    for a in range(0, len(words), step):
-        d = np.bitwise_count(words[a : a + step, None] ^ words[None, :])
-        d[labels[a : a + step, None] == labels[None, :]] = 255
-        order = np.argsort(d, axis=1, kind="stable")[:, first:last]
-        row, at = np.nonzero(np.take_along_axis(d, order, 1) <= bits)
-        out.append(np.stack([row + a, order[row, at]], axis=1))
-    return np.concatenate(out)
-
-
 def with_fingerprint(docs: DataFrame) -> DataFrame:
     """(doc_id, simhash_print long) of every row of ``docs``."""
 
@@ -259,7 +246,7 @@ def with_fingerprint(docs: DataFrame) -> DataFrame:
 
 
 def _compared(prints: DataFrame, bits: int, small: int, thin: bool) -> DataFrame:
-    """Rows (src, dst) of links between the distinct ``fp`` of ``prints``, and (src, null, key) of the rows of a key of more than ``small``."""
+    """(src, dst): links within ``bits`` between the distinct ``fp`` of ``prints`` that share a key, see _linked; thinned to a forest of each task if asked."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,39 +258,32 @@ def _compared(prints: DataFrame, bits: int, small: int, thin: bool) -> DataFrame
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
-        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+        def flush(last: bool) -> pa.RecordBatch:
             nonlocal held, rows
             key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
             cut = len(key) if last else int(np.searchsorted(key, key[-1]))
             held, rows = [(key[cut:], fp[cut:])], len(key) - cut
-            key, fp = key[:cut], fp[:cut]
-            if not cut:
-                return
-            found = _linked(key, fp, bits, small)
+            found = _linked(key[:cut], fp[:cut], bits, small)
             found = _forest(found) if thin else found
-            yield pa.RecordBatch.from_pydict({"src": found[:, 1], "dst": found[:, 2], "key": pa.nulls(len(found), pa.int64())})
-            if not thin:
-                size = np.diff(np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]))
-                large = np.repeat(size > small, size)
-                yield pa.RecordBatch.from_pydict({"src": fp[large], "dst": pa.nulls(int(large.sum()), pa.int64()), "key": key[large]})
+            return pa.RecordBatch.from_pydict({"src": found[:, 1], "dst": found[:, 2]})
 
         limit = _ROWS
         for batch in batches:
             held.append(tuple(batch[c].to_numpy() for c in ("key", "fp")))
             rows += batch.num_rows
             if rows >= limit:
-                yield from flush(False)
+                yield flush(False)
                 limit = _ROWS + 2 * rows
         if rows:
-            yield from flush(True)
+            yield flush(True)
 
     keyed = prints.select("fp").mapInArrow(emit, "key long, fp long")
-    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "src long, dst long, key long")
+    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "src long, dst long").distinct()
 
 
 def links(prints: DataFrame) -> DataFrame:
     """(src, dst): enough links between the distinct ``fp`` of ``prints`` to connect all within MAX_BITS."""
-    return _compared(prints, MAX_BITS, _SMALL, True).select("src", "dst").distinct()
+    return _compared(prints, MAX_BITS, _SMALL, True)
 
 
 def components(tagged: DataFrame) -> DataFrame:
@@ -365,56 +345,24 @@ def _checked(pairs: DataFrame, tagged: DataFrame) -> DataFrame:
     return pairs.join(src, "src").join(dst, "dst").select("src", "dst", "src_text", "dst_text").mapInArrow(verify, "src long, dst long")
 
 
-def _pairs_at(first: int, last: int):
-    def beyond(group: pa.Table) -> pa.Table:
-        node = group["node"].to_numpy()
-        at = _beyond(group["fp"].to_numpy(), group["label"].to_numpy(), first, last, CANDIDATE_BITS)
-        return pa.table({"a": node[at[:, 0]], "b": node[at[:, 1]]})
-
-    return beyond
-
-
 def near_copies(tagged: DataFrame) -> DataFrame:
     """(node, component) of the ``near_set`` of ``tagged`` (as of with_set) that have near copies."""
     sets = written(tagged.groupBy("near_set").agg(F.min("prints").alias("prints")), "prints")
-    total, near, groups = sets.count(), [], []
-    ordered = [F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")]
+    total, near = sets.count(), []
     for k in range(CANDIDATE_PRINTS):
         own = sets.select("near_set", F.col("prints")[k].alias("fp"))
-        first = written(own.groupBy("fp").agg(F.count("*").alias("n")), "first")
-        found = written(_compared(first, CANDIDATE_BITS, FEW, False).distinct(), "compared")
-        own = written(look_up(own, first.withColumn("size", F.col("n")), "fp", total), "own")
-        a, b = (own.select(F.col("fp").alias(f), F.col("near_set").alias(x), F.col("size").alias(f"{x}_size")) for f, x in (("src", "a"), ("dst", "b")))
-        a, b = a.where(F.col("a_size") <= FEW), b.where(F.col("b_size") <= FEW)
-        same = a.where("a_size > 1").join(b.withColumnRenamed("dst", "src"), "src").where("a <> b")
-        pairs = found.where("key is null").select("src", "dst")
-        near += [pairs.join(a, "src").join(b, "dst").select("a", "b"), same.select("a", "b")]
-        # prints that many sets share make a group of their own, with all that they met
-        many = first.where(F.col("n") > FEW).select(F.col("fp").alias("many"))
-        met = pairs.union(pairs.select("dst", "src")).toDF("many", "fp").join(many, "many", "left_semi").union(many.select("many", F.col("many").alias("fp")))
-        met = met.select(F.concat(F.lit(f"{k}="), "many").alias("group"), "fp")
-        large = found.where("key is not null").select(F.concat(F.lit(f"{k}:"), "key").alias("group"), F.col("src").alias("fp"))
-        groups.append(met.union(large).join(own.select("fp", F.col("near_set").alias("node")), "fp").select("group", "fp", "node"))
-    tested = [written(functools.reduce(DataFrame.union, near).select(*ordered).distinct(), "pairs")]
-    members = written(functools.reduce(DataFrame.union, groups), "groups")
-    most = members.groupBy("group").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    good = [written(_checked(tested[0], tagged), "links")]
-    reached = written(connected_components(good[0]), "reached")
-    first_place, last_place = 0, FEW
-    while first_place < most:
-        named = members.join(reached, "node", "left").withColumn("label", F.coalesce("component", "node"))
-        split = named.groupBy("group").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("group")
-        more = named.join(split, "group", "left_semi").select("group", "fp", "node", "label").groupBy("group").applyInArrow(_pairs_at(first_place, last_place), "a long, b long")
-        known = functools.reduce(DataFrame.union, tested)
-        more = written(more.select(*ordered).distinct().join(known, ["src", "dst"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            tested.append(more)
-            good.append(written(_checked(more, tagged), "links"))
-            reached = written(connected_components(functools.reduce(DataFrame.union, good)), "reached")
-        elif split.isEmpty():
-            break
-        first_place, last_place = last_place, last_place * 8
-    return reached
+        first = written(own.groupBy("fp").agg(F.min("near_set").alias("first"), F.count("*").alias("n")), "first")
+        found = _compared(first, CANDIDATE_BITS, FEW, False)
+        # prints that few sets share stand for all of them, others for the first, which all of theirs meet
+        ends = look_up(own, first.withColumn("size", F.col("n")), "fp", total).where((F.col("size") <= FEW) | (F.col("near_set") == F.col("first")))
+        ends = written(ends, "ends")
+        a, b = (ends.select(F.col("fp").alias(f), F.col("near_set").alias(x)) for f, x in (("src", "a"), ("dst", "b")))
+        several = ends.where("size > 1")
+        same = several.select("fp", F.col("near_set").alias("a")).join(several.select("fp", F.col("near_set").alias("b")), "fp").where("a < b")
+        many = look_up(own, first.where(F.col("n") > FEW), "fp", total).where("near_set <> first")
+        near += [found.join(a, "src").join(b, "dst").select("a", "b"), same.select("a", "b"), many.select(F.col("near_set").alias("a"), F.col("first").alias("b"))]
+    pairs = functools.reduce(DataFrame.union, near).select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
+    return written(connected_components(written(_checked(written(pairs, "pairs"), tagged), "links")), "reached")
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
