@@ -96,6 +96,12 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30))))
 
 
+def _apart(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Rows as views of one array: many small arrays would stay with the process after their use."""
+    ends = np.cumsum(sizes).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def _log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     count = [np.bincount(np.concatenate([r for r, k in zip(rows, y, strict=True) if k == c] or [np.empty(0, np.int32)]), minlength=BUCKETS) + SMOOTH for c in (1, 0)]
     return np.log(count[0] / count[0].sum()) - np.log(count[1] / count[1].sum())
@@ -146,11 +152,12 @@ def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
     kept = np.flatnonzero(~aside)
     ratio = _log_count_ratio([rows[i] for i in kept], y[kept])
 
-    def values(r):
-        v = ratio[r]
-        return (v / (np.sqrt(v @ v) or 1)).astype(np.float32)
-
-    weight, bias = _descend([rows[i] for i in kept], [values(rows[i]) for i in kept], y[kept])
+    sizes = np.array([len(rows[i]) for i in kept])
+    values = _apart(np.empty(sizes.sum(), np.float32), sizes)
+    for i, v in zip(kept, values, strict=True):
+        x = ratio[rows[i]]
+        v[:] = x / (np.sqrt(x @ x) or 1)
+    weight, bias = _descend([rows[i] for i in kept], values, y[kept])
     weight = (1 - BLEND) * np.abs(weight).mean() + BLEND * weight
     model = Model(ratio, weight, bias, 1.0, 0.0)
     seen = np.flatnonzero(aside) if aside.any() else kept
@@ -180,9 +187,16 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> M
     sizes = seen.select("doc_id", "h", "n").orderBy(*order).limit(max_rows).toArrow()["n"].to_numpy()  # ids may repeat in docs
     held = int(np.searchsorted(np.cumsum(sizes), MAX_FIT_FEATURES, side="right"))
     table = seen.orderBy(*order).limit(max(1, held)).select("label", "ids").toArrow()  # one copy of the features
-    found = [np.frombuffer(x.as_buffer(), np.int32) for x in table["ids"]]
-    mixed = np.random.Generator(np.random.PCG64(2)).permutation(len(found))
-    return fit([found[i] for i in mixed], table["label"].to_numpy()[mixed].astype(np.int64))
+    mixed = np.random.Generator(np.random.PCG64(2)).permutation(table.num_rows)
+    found = [np.frombuffer(table["ids"][i].as_buffer(), np.int32) for i in mixed.tolist()]
+    label = table["label"].to_numpy()[mixed].astype(np.int64)
+    if found:
+        found = _apart(np.concatenate(found), np.array([len(r) for r in found]))
+    del table
+    model = fit(found, label)
+    del found
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -30,7 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again.
 
-    Cuts the lineage and survives the loss of executors. The files go when the JVM ends.
+    Cuts the lineage and survives the loss of executors. The files go when the JVM ends. What the steps
+    before held (shuffle files, broadcasts, plans) is let go at once: the driver frees it when it is collected.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/rooflight/{name}-{uuid.uuid4().hex}"
@@ -38,6 +39,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     there = jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -352,7 +352,7 @@ def near_copies(tagged: DataFrame) -> DataFrame:
     for k in range(CANDIDATE_PRINTS):
         own = sets.select("near_set", F.col("prints")[k].alias("fp"))
         first = written(own.groupBy("fp").agg(F.min("near_set").alias("first"), F.count("*").alias("n")), "first")
-        found = _compared(first, CANDIDATE_BITS, FEW, False)
+        found = written(_compared(first, CANDIDATE_BITS, FEW, False), "compared")
         # prints that few sets share stand for all of them, others for the first, which all of theirs meet
         ends = look_up(own, first.withColumn("size", F.col("n")), "fp", total).where((F.col("size") <= FEW) | (F.col("near_set") == F.col("first")))
         ends = written(ends, "ends")
