@@ -111,3 +111,8 @@ def efficiency(g: str, temp: str, k: list[float]) -> str:
 
 #: Coefficients of crystalline silicon modules (Huld et al. 2011), the last the heating by irradiance.
 SILICON = [1.0, -0.017162, -0.040289, -0.004681, 0.000148, 0.000169, 5e-06, 25.0]
+#: Coefficients of the reference's two kinds of module, the last the heating by irradiance (degrees per W/m2).
+CSI_TABLE = [1.000436, -0.017237, -0.040465, -0.004702, 0.000149, 0.000170, 0.000005, 0.035]
+CDTE_TABLE = [0.999680, -0.103218, -0.040433, -0.001666, -0.002074, -0.001445, -0.000023, 0.035]
+#: As ``efficiency`` takes them: heating per kW/m2.
+CSI, CDTE = ([*t[:7], t[7] * 1000] for t in (CSI_TABLE, CDTE_TABLE))

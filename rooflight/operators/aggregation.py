@@ -28,12 +28,14 @@ def fit_plane(points: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def plane_metrics(points: DataFrame, planes: DataFrame, keys: list[str]) -> DataFrame:
-    """How well planes fit their points: mae, mse, rmse, sd of residuals, r2."""
+    """How well planes fit their points: mae, mse, rmse, sd of residuals, r2, msle (null if a height or its estimate is negative), mape."""
     r = points.join(planes, keys).withColumn("r", F.expr("z - (a * x + b * y + c)"))
     square = F.avg(F.col("r") * F.col("r"))
+    logs = F.when(F.min(F.least("z", F.col("z") - F.col("r"))) >= 0, F.avg(F.expr("power(ln(1 + greatest(z, 0)) - ln(1 + greatest(z - r, 0)), 2)")))
+    share = F.avg(F.abs("r") / F.greatest(F.abs("z"), F.lit(2.0**-52)))
     return r.groupBy(*keys).agg(
         F.avg(F.abs("r")).alias("mae"), square.alias("mse"), F.sqrt(square).alias("rmse"), F.stddev_pop("r").alias("sd"),
-        (1 - F.try_divide(square, F.var_pop("z"))).alias("r2"),
+        (1 - F.try_divide(square, F.var_pop("z"))).alias("r2"), logs.alias("msle"), share.alias("mape"),
     )
 
 
