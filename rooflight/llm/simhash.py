@@ -18,7 +18,8 @@ Everything works on distinct fingerprints: rows that share one, however many, ar
 ``near_duplicates`` links fingerprints alone. ``keep_one_each`` looks for texts whose sets of five-word
 shingles have a Jaccard similarity of 0.8 or more: candidates share a key of one of two fingerprints of
 their distinct words, which change far less than shingles do when words are replaced, and lie within
-10 bits; they are then checked on the whole sets of shingles, so that nothing else is linked. (Of the
+10 bits; they are then checked on the whole sets of shingles, so that nothing else is linked. A first
+pass by few keys joins most of a large family; the second leaves out pairs that are joined already. (Of the
 8999 such pairs in the smaller check table, keys of four-word shingles meet about seven in ten, those
 of distinct words 99.5 %; components miss fewer, as they need not every pair.) Of a key that more than
 FEW rows share the links of a shortest tree are checked, so that candidates grow with the rows and not
@@ -34,7 +35,7 @@ null ids last, of rows that share an id and a set the smallest text); an empty t
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import combinations, permutations
 
@@ -178,6 +179,15 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
+def plain_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As fuzzy_keys, but six a fingerprint: a segment as it is, and the codeword that another one decodes to."""
+    u = prints.view(np.uint64)
+    seg = [((u >> np.uint64(a)) & np.uint64((1 << n) - 1)).astype(np.int64) for a, n in SEGMENTS]
+    own = [_decoded(s, n)[0] for s, (_, n) in zip(seg, SEGMENTS, strict=True)]
+    keys = [np.int64(tag) << 40 | seg[i] << 12 | own[j] for tag, (i, j) in enumerate(permutations(range(3), 2))]
+    return np.concatenate(keys), np.tile(np.arange(len(prints)), len(keys))
+
+
 def _forest(links: np.ndarray) -> np.ndarray:
     """Of links (distance, a, b), those of a shortest spanning forest."""
     links = np.unique(links, axis=0)  # in order of distance
@@ -201,34 +211,34 @@ def _links(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
     return np.stack([distance.astype(np.int64), np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
-def _tree(prints: np.ndarray, bits: int) -> np.ndarray:
-    """The links within ``bits`` of a shortest spanning tree of one key's rows, one row after the other joining it."""
+def _tree(prints: np.ndarray, labels: np.ndarray, bits: int) -> np.ndarray:
+    """The links within ``bits`` of a shortest tree that joins one key's rows, one after the other; rows of a label are joined already."""
     n, at = len(prints), 0
     near, via, left = np.full(n, 255, np.uint8), np.zeros(n, np.int64), np.ones(n, bool)
     ends = np.zeros((n - 1, 3), np.int64)
     words = prints.view(np.uint64)
     for i in range(n - 1):
         left[at], near[at] = False, 255
-        d = np.bitwise_count(words ^ words[at])
+        d = np.where(labels == labels[at], np.uint8(0), np.bitwise_count(words ^ words[at]))
         closer = left & (d < near)
         near[closer], via[closer] = d[closer], at
-        at = int(near.argmin())
+        at = int(np.where(left, near, 255).argmin())
         ends[i] = near[at], via[at], at
-    ends = ends[ends[:, 0] <= bits]
+    ends = ends[(ends[:, 0] <= bits) & (labels[ends[:, 1]] != labels[ends[:, 2]])]
     return _links(prints[ends[:, 1]], prints[ends[:, 2]], ends[:, 0])
 
 
-def _linked(key: np.ndarray, prints: np.ndarray, bits: int, small: int) -> np.ndarray:
-    """Links within ``bits`` among rows of one key: all of up to ``small`` rows, a tree's of more. Rows are sorted by key."""
+def _linked(key: np.ndarray, prints: np.ndarray, labels: np.ndarray, bits: int, small: int) -> np.ndarray:
+    """Links within ``bits`` among rows of one key and different labels: all of up to ``small`` rows, a tree's of more. Rows are sorted by key."""
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.append(first, len(key)))
     found = [np.empty((0, 3), np.int64)]
     for a, n in zip(first[size > small].tolist(), size[size > small].tolist(), strict=True):
-        found.append(_tree(prints[a : a + n], bits))
+        found.append(_tree(prints[a : a + n], labels[a : a + n], bits))
     at, step = np.flatnonzero(np.repeat((size > 1) & (size <= small), size)), 1
     while len(at := at[at < len(key) - step]) and len(at := at[key[at] == key[at + step]]):
         d = np.bitwise_count((prints[at] ^ prints[at + step]).view(np.uint64))
-        hit = d <= bits
+        hit = (d <= bits) & (labels[at] != labels[at + step])
         found.append(_links(prints[at[hit]], prints[at[hit] + step], d[hit]))
         step += 1
     return np.unique(np.concatenate(found), axis=0)
@@ -245,31 +255,35 @@ def with_fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(add, "doc_id long, simhash_print long")
 
 
-def _compared(prints: DataFrame, bits: int, small: int, thin: bool) -> DataFrame:
-    """(src, dst): links within ``bits`` between the distinct ``fp`` of ``prints`` that share a key, see _linked; thinned to a forest of each task if asked."""
+def _compared(prints: DataFrame, keys: Callable, bits: int, small: int, thin: bool) -> DataFrame:
+    """(src, dst): links within ``bits`` between the distinct ``fp`` of ``prints`` (fp, label) that share a key, see _linked; thinned to a forest of each task if asked. Without a label all differ."""
+    labelled = "label" in prints.columns
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch["fp"].to_numpy()
+            label = batch["label"].to_numpy() if labelled else fp
             for a in range(0, len(fp), 8192):
-                key, row = fuzzy_keys(fp[a : a + 8192])
-                yield pa.RecordBatch.from_pydict({"key": key, "fp": fp[a + row]})
+                key, row = keys(fp[a : a + 8192])
+                names = {"key": key, "fp": fp[a + row]}
+                yield pa.RecordBatch.from_pydict(names | ({"label": label[a + row]} if labelled else {}))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
         def flush(last: bool) -> pa.RecordBatch:
             nonlocal held, rows
-            key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+            key, fp, label = (np.concatenate(x) for x in zip(*held, strict=True))
             cut = len(key) if last else int(np.searchsorted(key, key[-1]))
-            held, rows = [(key[cut:], fp[cut:])], len(key) - cut
-            found = _linked(key[:cut], fp[:cut], bits, small)
+            held, rows = [(key[cut:], fp[cut:], label[cut:])], len(key) - cut
+            found = _linked(key[:cut], fp[:cut], label[:cut], bits, small)
             found = _forest(found) if thin else found
             return pa.RecordBatch.from_pydict({"src": found[:, 1], "dst": found[:, 2]})
 
         limit = _ROWS
         for batch in batches:
-            held.append(tuple(batch[c].to_numpy() for c in ("key", "fp")))
+            fp = batch["fp"].to_numpy()
+            held.append((batch["key"].to_numpy(), fp, batch["label"].to_numpy() if labelled else fp))
             rows += batch.num_rows
             if rows >= limit:
                 yield flush(False)
@@ -277,13 +291,13 @@ def _compared(prints: DataFrame, bits: int, small: int, thin: bool) -> DataFrame
         if rows:
             yield flush(True)
 
-    keyed = prints.select("fp").mapInArrow(emit, "key long, fp long")
+    keyed = prints.select("fp", *["label"] * labelled).mapInArrow(emit, "key long, fp long" + ", label long" * labelled)
     return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "src long, dst long").distinct()
 
 
 def links(prints: DataFrame) -> DataFrame:
     """(src, dst): enough links between the distinct ``fp`` of ``prints`` to connect all within MAX_BITS."""
-    return _compared(prints, MAX_BITS, _SMALL, True)
+    return _compared(prints.select("fp"), fuzzy_keys, MAX_BITS, _SMALL, True)
 
 
 def components(tagged: DataFrame) -> DataFrame:
@@ -348,11 +362,27 @@ def _checked(pairs: DataFrame, tagged: DataFrame) -> DataFrame:
 def near_copies(tagged: DataFrame) -> DataFrame:
     """(node, component) of the ``near_set`` of ``tagged`` (as of with_set) that have near copies."""
     sets = written(tagged.groupBy("near_set").agg(F.min("prints").alias("prints")), "prints")
-    total, near = sets.count(), []
-    for k in range(CANDIDATE_PRINTS):
+    total = sets.count()
+
+    def named(k: int) -> tuple[DataFrame, DataFrame]:
         own = sets.select("near_set", F.col("prints")[k].alias("fp"))
-        first = written(own.groupBy("fp").agg(F.min("near_set").alias("first"), F.count("*").alias("n")), "first")
-        found = written(_compared(first, CANDIDATE_BITS, FEW, False), "compared")
+        return own, written(own.groupBy("fp").agg(F.min("near_set").alias("first"), F.count("*").alias("n")), "first")
+
+    def checked(near: list[DataFrame]) -> DataFrame:
+        pairs = functools.reduce(DataFrame.union, near).toDF("a", "b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
+        return written(_checked(written(pairs, "pairs"), tagged), "links")
+
+    # most of a large family comes together by few keys
+    _, first = named(0)
+    a, b = (first.select(F.col("fp").alias(f), F.col("first").alias(x)) for f, x in (("src", "a"), ("dst", "b")))
+    sure = checked([_compared(first, plain_keys, CANDIDATE_BITS, FEW, True).join(a, "src").join(b, "dst").select("a", "b")])
+    reached, near = written(connected_components(sure), "reached"), []
+    for k in range(CANDIDATE_PRINTS):
+        own, first = named(k)
+        # a print of several sets has a label of its own, so that each of them is compared
+        label = F.when(F.col("n") > 1, F.col("fp")).otherwise(F.coalesce("component", "first"))
+        labels = first.join(reached, F.col("first") == F.col("node"), "left").select("fp", label.alias("label"))
+        found = written(_compared(labels, fuzzy_keys, CANDIDATE_BITS, FEW, False), "compared")
         # prints that few sets share stand for all of them, others for the first, which all of theirs meet
         ends = look_up(own, first.withColumn("size", F.col("n")), "fp", total).where((F.col("size") <= FEW) | (F.col("near_set") == F.col("first")))
         ends = written(ends, "ends")
@@ -360,9 +390,8 @@ def near_copies(tagged: DataFrame) -> DataFrame:
         several = ends.where("size > 1")
         same = several.select("fp", F.col("near_set").alias("a")).join(several.select("fp", F.col("near_set").alias("b")), "fp").where("a < b")
         many = look_up(own, first.where(F.col("n") > FEW), "fp", total).where("near_set <> first")
-        near += [found.join(a, "src").join(b, "dst").select("a", "b"), same.select("a", "b"), many.select(F.col("near_set").alias("a"), F.col("first").alias("b"))]
-    pairs = functools.reduce(DataFrame.union, near).select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
-    return written(connected_components(written(_checked(written(pairs, "pairs"), tagged), "links")), "reached")
+        near += [found.join(a, "src").join(b, "dst").select("a", "b"), same.select("a", "b"), many.select("near_set", "first")]
+    return written(connected_components(sure.union(checked(near))), "reached")
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
