@@ -48,6 +48,7 @@ MARK = "▁"
 _BLANK = re.compile(r"[\x20\x09-\x0D]")
 _PACK_ROWS = 400_000
 _SLICE_BYTES = 4 << 20
+_BLOCK_UNITS = 1 << 15  # units cut into cells at once
 
 
 class Pieces:
@@ -298,7 +299,9 @@ def _pack(docs: DataFrame, pieces: Pieces) -> DataFrame:
         def close() -> pa.RecordBatch:
             ids = pa.concat_arrays([h[0] for h in held])
             coded = pa.concat_arrays([h[1] for h in held]).dictionary_encode()
-            cut, counts = short_cells(*cells(coded.dictionary, pairs, triples), scores.value, longest, fallback)
+            blocks = [cells(coded.dictionary.slice(a, _BLOCK_UNITS), pairs, triples) for a in range(0, max(1, len(coded.dictionary)), _BLOCK_UNITS)]
+            cut, counts = pa.concat_arrays([b[0] for b in blocks]), np.concatenate([b[1] for b in blocks])
+            cut, counts = short_cells(cut, counts, scores.value, longest, fallback)
             cut = cut.dictionary_encode()
             order = pc.sort_indices(cut.dictionary).to_numpy()  # alike ones side by side compress better
             place = np.empty(len(order), np.int32)
