@@ -215,11 +215,11 @@ _LEGS = "sqrt(power(x1 - x0, 2) + power(y1 - y0, 2))"
     SELECT vec_id, CAST(i - 1 AS INTEGER) AS i, round(length, 6) AS length, round(azimuth, 4) AS azimuth, round(mx, 6) AS mx, round(my, 6) AS my FROM (
       SELECT *, {_LEGS} AS length, CASE WHEN degrees(atan2(x1 - x0, y1 - y0)) <= 0 THEN degrees(atan2(x1 - x0, y1 - y0)) + 180 ELSE degrees(atan2(x1 - x0, y1 - y0)) END AS azimuth, (x0 + x1) / 2 AS mx, (y0 + y1) / 2 AS my
       FROM (SELECT vec_id, i, CAST(embedding[2 * i - 1] AS DOUBLE) AS x0, CAST(embedding[2 * i] AS DOUBLE) AS y0,
-                   CAST(embedding[2 * i + 1] AS DOUBLE) AS x1, CAST(embedding[2 * i + 2] AS DOUBLE) AS y1 FROM embeddings, generate_series(1, 7) g(i)))
+                   CAST(embedding[2 * i + 1] AS DOUBLE) AS x1, CAST(embedding[2 * i + 2] AS DOUBLE) AS y1 FROM (SELECT *, unnest(generate_series(1, len(embedding) // 2 - 1)) AS i FROM embeddings)))
     WHERE length > 0.01
 """)
 def segments(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings").selectExpr("vec_id", "explode(sequence(0, 6)) AS i", "embedding AS v")
+    rows = table(spark, sf_dir, "embeddings").where("size(embedding) >= 4").selectExpr("vec_id", "explode(sequence(0, CAST(size(embedding) div 2 - 2 AS INT))) AS i", "embedding AS v")
     rows = rows.selectExpr("vec_id", "i", *[f"CAST(v[2 * i + {k}] AS DOUBLE) AS {c}" for k, c in enumerate(("x0", "y0", "x1", "y1"))])
     rows = chain(rows, [("length", _LEGS), ("turn", "degrees(atan2(x1 - x0, y1 - y0))")]).where("length > 0.01")
     return rows.selectExpr("vec_id", "i", "round(length, 6) AS length", "round(CASE WHEN turn <= 0 THEN turn + 180 ELSE turn END, 4) AS azimuth", "round((x0 + x1) / 2, 6) AS mx", "round((y0 + y1) / 2, 6) AS my")
