@@ -1,16 +1,18 @@
 """Licence scans in SQL functions alone: TF-IDF cosine to templates, then inheritance by directory.
 
-Every line of every text is a segment; the whole text of a file named LICENSE, LICENCE, COPYING or
-NOTICE is one more. A segment has a licence if its cosine to one of the templates reaches the
+Every line of every text is a segment, and so are all runs of 2 to WRAPPED consecutive lines of at most
+MAX_LINE characters each, as notices and the headings of licences are wrapped; the whole text of a file
+named LICENSE, LICENCE, COPYING or NOTICE is one more. A segment has a licence if its cosine to one of the templates reaches the
 threshold. Weights are 1 + ln(tf) times ln((N + 1) / (df + 1)) + 1, df counted over all documents;
-words of no template count as if in no document. Before lines are split, a text must hold one of the
+words of no template count as if in no document. A text must hold, and a segment must, one of the
 words without which no cosine can reach the threshold: the heaviest words of a template, taken until
 the others' share of its length is under the threshold. So nothing above the threshold is lost.
 
 A file without a licence of its own takes that of the nearest directory above it that holds a licence
 file, found by joining the directories' ancestors with the licensed directories.
 
-Edge cases: null or empty texts have no licence of their own but inherit; a null source is the
+Edge cases: a very long text is cut into blocks of BLOCK lines that overlap, so that its runs are made block by
+block; a longer line than MAX_LINE stands alone; null or empty texts have no licence of their own but inherit; a null source is the
 directory ``_``; ties go to the smaller licence name; repeated rows give repeated rows; an empty
 table gives no rows; extra columns are ignored.
 """
@@ -26,8 +28,15 @@ from pyspark.sql import functions as F
 from rooflight.llm.shared import written
 
 THRESHOLD = 0.8
-#: The notices looked for. Longer ones are the customary header paragraphs.
+#: Lines that a wrapped notice may take, and characters that each of them may have.
+WRAPPED, MAX_LINE = 6, 1000
+#: Lines whose runs are made together.
+BLOCK = 64
+#: The notices looked for. Longer ones are the customary header paragraphs; whole licences are known by their headings.
 TEMPLATES = [
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-only"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
@@ -39,15 +48,21 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 _LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)(\.[a-z]+)?$"
 _TOKEN = "[^a-z0-9]+"
@@ -62,6 +77,27 @@ def _tokens(text):
     return F.filter(F.split(F.lower(text), _TOKEN), lambda x: x != "")
 
 
+def _blocks(text):
+    """The lines of ``text`` in blocks, each with the lines that runs of its last ones reach into."""
+    lines = F.split(text, "\n")
+    cut = F.sequence(F.lit(0), ((F.size(lines) - 1) / BLOCK).cast("int"))
+    return F.transform(cut, lambda b: F.slice(lines, b * BLOCK + 1, BLOCK + WRAPPED - 1))
+
+
+def _runs(part, hit):
+    """The runs of lines that begin in a block ``part`` and hold one of those that ``hit`` marks."""
+
+    def wanted(s, k):
+        wraps = F.forall(F.slice(part, s, k), lambda x: F.length(x) <= MAX_LINE)
+        return F.exists(F.slice(hit, s, k), lambda x: x) & ((k == 1) | wraps)
+
+    def begun(s):
+        sizes = F.sequence(F.lit(1), F.least(F.lit(WRAPPED), F.size(part) - s + 1))
+        return F.transform(F.filter(sizes, lambda k: wanted(s, k)), lambda k: F.array_join(F.slice(part, s, k), "\n"))
+
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.size(part))), begun))
+
+
 def _vocabulary(templates) -> list[str]:
     return sorted({w for _, t in templates for w in words_of(t)})
 
@@ -98,13 +134,14 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     idfs = F.broadcast(spark.createDataFrame(sorted({(t, i) for t, _, _, _, i in rows}), "term string, idf double"))
     any_of = "(?i)(?<![a-z0-9])(" + "|".join(needed) + ")(?![a-z0-9])"
     named = F.element_at(F.split("path", "/"), -1).rlike(_LICENCE_FILE)
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(any_of))
-    segments = F.concat(lines, F.when(named, F.array("text")).otherwise(F.array().cast("array<string>")))
+    whole = F.when(named, F.array(F.array("text"))).otherwise(F.array().cast("array<array<string>>"))
     counted = written(
         files.where(F.col("text").rlike(any_of))
         .withColumn("uid", F.monotonically_increasing_id())
-        .select("path", "uid", F.posexplode(segments).alias("at", "part"))
-        .select("path", F.struct("uid", "at").alias("segment"), F.explode(_tokens("part")).alias("term"))
+        .select("path", "uid", F.posexplode(F.concat(_blocks(F.col("text")), whole)).alias("block", "part"))
+        .withColumn("hit", F.transform("part", lambda x: x.rlike(any_of)))
+        .select("path", "uid", "block", F.posexplode(_runs(F.col("part"), F.col("hit"))).alias("at", "part"))
+        .select("path", F.struct("uid", "block", "at").alias("segment"), F.explode(_tokens("part")).alias("term"))
         .groupBy("path", "segment", "term")
         .agg(F.count("*").alias("tf"))
         .join(idfs, "term", "left")

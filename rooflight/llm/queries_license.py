@@ -31,9 +31,12 @@ def _sql() -> str:
         tw AS (
           SELECT k, licence, term, tf * idf / sqrt(sum(tf * tf * idf * idf) OVER (PARTITION BY k)) AS w
           FROM tc JOIN idf USING (term)),
+        lines AS (SELECT path, string_split(text, chr(10)) AS l FROM f WHERE text IS NOT NULL),
+        starts AS (SELECT path, l, unnest(generate_series(1, len(l))) AS s FROM lines),
+        runs AS (SELECT path, s, k, l[s:s + k - 1] AS run FROM starts, generate_series(1, {ls.WRAPPED}) g(k) WHERE s + k - 1 <= len(l)),
         seg AS (
-          SELECT path, i, part FROM (
-            SELECT path, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS part FROM f)
+          SELECT path, s * {ls.WRAPPED} + k AS i, array_to_string(run, chr(10)) AS part FROM runs
+          WHERE k = 1 OR list_max([length(x) FOR x IN run]) <= {ls.MAX_LINE}
           UNION ALL SELECT path, 0, text FROM f WHERE regexp_matches({licence_file})),
         tok AS (SELECT path, i, unnest(string_split_regex(lower(part), '[^a-z0-9]+')) AS term FROM seg),
         c AS (SELECT path, i, term, 1 + ln(count(*)) AS tf FROM tok WHERE term <> '' GROUP BY ALL),

@@ -293,3 +293,15 @@ def test_licences(spark, nothing):
     out = license_scan.scan_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert sorted((r.doc_id, r.licence) for r in out if r.licence) == [(0, "MIT"), (1, "CC-BY-NC-4.0"), (2, "MIT")] and len(out) == 5
     assert license_scan.scan_documents(nothing).count() == 0
+
+
+def test_wrapped_licences(spark):
+    gpl = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."]
+    apache = "\n" + " " * 33 + "Apache License\n" + " " * 27 + "Version 2.0, January 2004\n" + " " * 24 + "http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n"
+    lesser = "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007\n"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n"
+    early = "\n".join(["# ab"] * 62 + ["# " + x for x in gpl])  # over the border of two blocks
+    texts = ["\n".join("# " + x for x in gpl), apache, lesser, "Copyright (c) 2020 A. Person\n" + bsd, early, "free software\nand a licence of another kind\nin any version", gpl[0] + "x " * 600 + gpl[1]]
+    rows = [(100 * i + 1, t, "s") for i, t in enumerate(texts)]
+    out = {r.doc_id // 100: r.licence for r in license_scan.scan_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [out[i] for i in range(len(texts))] == ["GPL-3.0", "Apache-2.0", "LGPL-3.0", "BSD-3-Clause", "GPL-3.0", None, None]
