@@ -44,10 +44,10 @@ def dbscan_1d(rows: DataFrame, part: str, value: str, key: str, eps: float, leas
     """Density clusters of a number: ``cluster`` counts from 1 in order of value, 0 is noise.
 
     A row with at least ``least`` rows within eps is a core; cores closer than eps are one cluster; a
-    border row joins the core below it if within eps, else the one above.
+    border row joins the core below it if within eps, else the one above. Rows without a value are noise.
     """
     near = f"PARTITION BY {part} ORDER BY {value} RANGE BETWEEN {eps}D PRECEDING AND {eps}D FOLLOWING"
-    rows = rows.withColumn("core", F.expr(f"count(*) OVER ({near})") >= least)
+    rows = rows.withColumn("core", F.col(value).isNotNull() & (F.expr(f"count(*) OVER ({near})") >= least))
     up, down = Window.partitionBy(part).orderBy(value, key), Window.partitionBy(part).orderBy(F.desc(value), F.desc(key))
     here = F.when(F.col("core"), F.col(value))
     below = F.last(here, ignorenulls=True).over(up.rowsBetween(Window.unboundedPreceding, -1))
