@@ -1,10 +1,12 @@
 """Exact top-k search by inner product, with a ball tree per shard.
 
 Vectors are spread over shards of bounded size; each shard becomes one written row that holds a ball
-tree. Queries are packed into blocks; a block meets a shard by an equi-join on the shard. First every
-query searches one shard, which gives a k-th score; that score is shared: the other shards start from
-it and drop every node whose upper bound on the inner product, centre * q + radius * |q|, falls short
-of it (or ties with it and holds larger ids only). Nodes are visited in the order of their bounds, best first.
+tree. Queries are packed into blocks. First every block searches the shard of its own queries, which gives
+each query a k-th score; then it goes to all groups of shards. A task reads the trees of a group once and
+then streams the blocks past them: a block's queries drop every leaf whose upper bound on the inner product,
+centre * q + radius * |q|, falls short of their k-th score (or ties with it and holds larger ids only).
+Leaves are visited best bounds first, one matrix product for all queries that still need a leaf, and the
+k-th scores rise from tree to tree. So trees travel once, blocks once a group, and rows never meet in a join.
 
 Edge cases: vectors that are null or hold a null, NaN or infinite component take no part, nor do rows
 with a null id; shorter vectors count as padded with zeros; repeated rows are candidates of their own,
@@ -15,23 +17,29 @@ own id; scores beyond a long are cut to its range; extra columns are ignored; em
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rooflight.llm.shared import written
 
+#: Rows of a shard at most (fewer of long vectors, for SHARD_CELLS), and the shards of a group.
 SHARD_ROWS = 16_384
+SHARD_CELLS = 1 << 20
+GROUP_SHARDS = 16
 MIN_SHARDS = 16
 BLOCK_QUERIES = 1_024
 LEAF = 128
 _FOUND = "query_id long, vec_id long, score long"
-_EXACT = float(1 << 53)
+_PACKED = "shard int, blob binary"
+_EXACT = {np.float32: float(1 << 24), np.float64: float(1 << 53)}
+_LEAST = float(-(1 << 63))
 
 
 class BallTree:
@@ -54,56 +62,62 @@ class BallTree:
             kids += [(-1, -1), (-1, -1)]
             todo += [len(spans) - 2, len(spans) - 1]
         self.ids, self.rows = ids[order], rows[order]
-        self.spans, self.kids = np.array(spans, np.int64), np.array(kids, np.int64)
-        self.centres = np.stack([self.rows[a:b].mean(axis=0) for a, b in spans])
-        self.radii = np.array([np.sqrt(((self.rows[a:b] - c) ** 2).sum(axis=1).max()) for (a, b), c in zip(spans, self.centres, strict=True)])
-        self.low_id = np.array([self.ids[a:b].min() for a, b in spans])
+        self.spans = np.array([s for s, (left, _) in zip(spans, kids, strict=True) if left < 0], np.int64)  # of the leaves
+        parts = [self.rows[a:b] for a, b in self.spans]
+        self.centres = np.stack([x.mean(axis=0) for x in parts])
+        self.radii = np.array([np.sqrt(((x - c) ** 2).sum(axis=1).max()) for x, c in zip(parts, self.centres, strict=True)])
+        self.low_id = np.array([self.ids[a:b].min() for a, b in self.spans])
+        self.longest = float(np.sqrt((self.rows**2).sum(axis=1).max()))
+        if self.longest < _EXACT[np.float32]:  # whole numbers that a single holds
+            self.rows = self.rows.astype(np.float32)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """Upper bounds (queries x nodes) on the inner product, with room for rounding."""
+        """Upper bounds (queries x leaves) on the inner product, with room for rounding."""
         length = np.sqrt((queries**2).sum(axis=1))[:, None]
         size = np.sqrt((self.centres**2).sum(axis=1))[None, :] + self.radii[None, :]
-        return queries @ self.centres.T + length * self.radii[None, :] + 1e-9 * length * size
-
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floor: list) -> list[list[tuple]]:
-        """The best (score, -id) of each query, those under ``floor`` (its shared k-th, or None) left out."""
-        top, exact = self.bounds(queries), self._exact(queries)
-        out = []
-        for i, query in enumerate(queries):
-            best = [floor[i]] * k if floor[i] is not None else []
-            own, line = int(query_ids[i]), top[i]
-            heap = [(-line[0], 0)]
-            while heap:
-                bound, node = heapq.heappop(heap)
-                if len(best) == k and -bound < best[0][0]:
-                    break
-                if len(best) == k and -bound < best[0][0] + 1 and -self.low_id[node] < best[0][1]:
-                    continue  # it can tie at most, and loses every tie
-                left, right = self.kids[node]
-                if left >= 0:
-                    for x in (left, right):
-                        if len(best) < k or line[x] >= best[0][0]:
-                            heapq.heappush(heap, (-line[x], x))
-                    continue
-                a, b = self.spans[node]
-                scores = self.rows[a:b] @ query if exact else _big(self.rows[a:b], query)
-                keep = self.ids[a:b] != own
-                if len(best) == k:
-                    keep &= scores >= best[0][0]
-                for j in np.flatnonzero(keep):
-                    hit = (int(scores[j]), -int(self.ids[a + j]))
-                    if len(best) < k:
-                        heapq.heappush(best, hit)
-                    elif hit > best[0]:
-                        heapq.heapreplace(best, hit)
-            out.append(best)
-        return out
-
-    def _exact(self, queries: np.ndarray) -> bool:
-        """Are all products and sums whole numbers that a double holds?"""
+        return np.maximum(queries @ self.centres.T + length * self.radii[None, :] + 1e-9 * length * size, _LEAST)
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, best: list[list[tuple]]) -> None:
+        """Put what is better into ``best``, a heap of up to k (score, -id) of each query."""
         if not len(queries):
-            return True
-        return float(np.abs(queries).max()) * float(np.abs(self.rows).max(initial=0)) * self.rows.shape[1] < _EXACT
+            return
+        kind = self._exact(queries)
+        top, q = self.bounds(queries), queries.astype(kind)
+        kth = np.array([h[0][0] if len(h) == k else -np.inf for h in best], kind)
+        kth_id = np.array([-h[0][1] if len(h) == k else 0 for h in best], np.int64)
+        for leaf in np.argsort(-top.max(axis=0), kind="stable").tolist():
+            line = top[:, leaf]
+            # within one of the k-th score it can tie at most, and loses every tie to smaller ids
+            ask = np.flatnonzero((line >= kth) & ~((line < kth + 1) & (self.low_id[leaf] > kth_id)))
+            if not len(ask):
+                continue
+            a, b = self.spans[leaf]
+            ids = self.ids[a:b]
+            if kind is object:
+                scores = np.stack([_big(self.rows[a:b], x) for x in queries[ask]])
+            else:
+                scores = q[ask] @ self.rows[a:b].astype(kind, copy=False).T
+            least = kth[ask]
+            if kind is not object and b - a > k and np.isinf(least).any():
+                others = np.where(ids[None, :] == query_ids[ask, None], -np.inf, scores)
+                least = np.maximum(least, np.partition(others, -k, axis=1)[:, -k])
+            for i, j in zip(*np.nonzero(scores >= least[:, None]), strict=True):
+                n, hit = ask[i], (int(scores[i, j]), -int(ids[j]))
+                if -hit[1] == query_ids[n]:
+                    continue
+                if len(best[n]) < k:
+                    heapq.heappush(best[n], hit)
+                elif hit > best[n][0]:
+                    heapq.heapreplace(best[n], hit)
+            for n in ask.tolist():
+                if len(best[n]) == k:
+                    kth[n], kth_id[n] = best[n][0][0], -best[n][0][1]
+
+    def _exact(self, queries: np.ndarray) -> type:
+        """The type that holds all products and their sums, which are whole numbers: no sum exceeds the product of the lengths."""
+        most = float(np.sqrt((queries**2).sum(axis=1).max())) * self.longest
+        most = max(most, float(np.abs(queries).max(initial=0)), self.longest) * 1.001
+        return next((t for t, limit in _EXACT.items() if most < limit), object)
 
 
 def _big(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -135,68 +149,90 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """
     n, dim = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
     dim = max(1, dim or 1, queries.agg(F.max(F.size("v"))).first()[0] or 1)
-    shards = max(MIN_SHARDS, -(-n // SHARD_ROWS))
-
-    def plant(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = BallTree(pdf.vec_id.to_numpy(np.int64), _matrix(pdf.v, dim))
-        parts = (t.ids, t.rows, t.spans, t.kids, t.centres, t.radii, t.low_id)
-        return pd.DataFrame({"shard": [pdf.shard.iat[0]], **{c: [x.tobytes()] for c, x in zip(_PARTS, parts, strict=True)}})
+    shards = max(MIN_SHARDS, -(-n // max(1, min(SHARD_ROWS, SHARD_CELLS // dim))))
+    groups = max(MIN_SHARDS, -(-shards // GROUP_SHARDS))
 
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    trees = written(vectors.withColumn("shard", shard).groupBy("shard").applyInPandas(plant, "shard int, " + ", ".join(f"{c} binary" for c in _PARTS)), "trees")
+    def packed(pdf: pd.DataFrame, what) -> pd.DataFrame:
+        return pd.DataFrame({"shard": [pdf.shard.iat[0]], "blob": [pickle.dumps(what)]})
 
-    def read(row) -> BallTree:
-        t = BallTree.__new__(BallTree)
-        t.ids, t.low_id = (np.frombuffer(getattr(row, c), np.int64) for c in ("ids", "low_id"))
-        t.spans, t.kids = (np.frombuffer(getattr(row, c), np.int64).reshape(-1, 2) for c in ("spans", "kids"))
-        t.rows, t.centres = (np.frombuffer(getattr(row, c), np.float64).reshape(-1, dim) for c in ("points", "centres"))
-        t.radii = np.frombuffer(row.radii, np.float64)
-        return t
+    def plant(pdf: pd.DataFrame) -> pd.DataFrame:
+        return packed(pdf, BallTree(pdf.vec_id.to_numpy(np.int64), _matrix(pdf.v, dim)))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
-        floor = pdf[["kth", "kth_id"]].to_numpy(object) if "kth" in pdf else np.full((len(pdf), 2), None)
-        known = np.array([x is not None and x == x for x in floor[:, 0]], bool)
-        first, second = (np.array([int(x) if y else 0 for x, y in zip(c, known, strict=True)], np.int64) for c in (floor[:, 0], floor[:, 1]))
-        blobs = (pdf.vec_id.to_numpy(np.int64), _matrix(pdf.v, dim), pdf.seed.to_numpy(np.int64), known, first, second)
-        return pd.DataFrame({"seed": [pdf.seed.iat[0]], **{c: [x.tobytes()] for c, x in zip(_BLOCK, blobs, strict=True)}})
-
-    block_type = "seed int, " + ", ".join(f"{c} binary" for c in _BLOCK)
-
-    def visit(frames: Iterator[pd.DataFrame], seeding: bool) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for row in pdf.itertuples():
-                seeds, known = np.frombuffer(row.q_seeds, np.int64), np.frombuffer(row.q_known, bool)
-                todo = (seeds == row.shard) == seeding
-                ids, q = np.frombuffer(row.q_ids, np.int64)[todo], np.frombuffer(row.q_points, np.float64).reshape(-1, dim)[todo]
-                known, first, second = known[todo], np.frombuffer(row.q_kth, np.int64)[todo], np.frombuffer(row.q_kth_id, np.int64)[todo]
-                floor = [(int(s), -int(i)) if y else None for y, s, i in zip(known, first, second, strict=True)]
-                found = read(row).search(ids, q, k, floor)
-                hits = [(int(i), -h[1], h[0]) for i, f, best in zip(ids, floor, found, strict=True) for h in best if h != f]
-                yield pd.DataFrame(hits, columns=["query_id", "vec_id", "score"]).astype("int64")
+        points = _matrix(pdf.v, dim)
+        small = np.abs(points).max() < _EXACT[np.float32]
+        return packed(pdf, (pdf.vec_id.to_numpy(np.int64), points.astype(np.float32) if small else points, [[] for _ in range(len(pdf))]))
+
+    def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks with the best of their own shard, whose tree comes before them."""
+        tree, of = None, None
+        for _, shard, what in _rows(batches):
+            if isinstance(what, BallTree):
+                tree, of = what, shard
+                continue
+            ids, points, best = what
+            if of == shard:
+                tree.search(ids, points.astype(np.float64), k, best)
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "blob": [pickle.dumps((ids, points, best))]})
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What the trees of a group, which come before the blocks, add to each block's best."""
+        trees, of = [], None
+        for group, shard, what in _rows(batches):
+            if of != group:
+                trees, of = [], group
+            if isinstance(what, BallTree):
+                trees.append((shard, what))
+                continue
+            ids, points, best = what
+            floor = [{*h} if len(h) == k else set() for h in best]
+            now, points = [[min(h)] * k if len(h) == k else [] for h in best], points.astype(np.float64)
+            for other, tree in trees:
+                if other != shard:
+                    tree.search(ids, points, k, now)
+            yield _hits(ids, [set(h) - f for h, f in zip(now, floor, strict=True)])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch["blob"]:
+                ids, _, best = pickle.loads(blob.as_py())
+                yield _hits(ids, best)
+
+    def streamed(trees: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
+        """The trees of each key and then its blocks, in one task."""
+        both = trees.select(key, F.lit(0).alias("kind"), "shard", "blob").toDF("key", "kind", "shard", "blob")
+        both = both.union(blocks.select(key, F.lit(1).alias("kind"), "shard", "blob"))
+        return both.repartition("key").sortWithinPartitions("key", "kind")
 
+    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
+    trees = written(vectors.withColumn("shard", shard).groupBy("shard").applyInPandas(plant, _PACKED), "trees")
     # Each query starts in a shard of its own number; blocks of a shard have a bounded number of queries.
-    asked = written(
-        queries.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("seed", shard), "queries"
-    )
+    asked = written(queries.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("shard", shard), "queries")
     blocks = max(1, -(-asked.count() // (BLOCK_QUERIES * shards)))
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks))
-    packed = asked.withColumn("block", block).groupBy("seed", "block").applyInPandas(pack, block_type)
-    first = written(packed.withColumn("shard", F.col("seed")).join(trees, "shard").mapInPandas(partial(visit, seeding=True), _FOUND), "seeds")
+    first = asked.withColumn("block", block).groupBy("shard", "block").applyInPandas(pack, _PACKED)
+    first = written(streamed(trees, first, "shard").mapInArrow(seed, _PACKED), "seeds")
+    grouped = trees.withColumn("group", F.col("shard") % groups)
+    everywhere = first.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    rest = streamed(grouped, everywhere, "group").mapInArrow(visit, _FOUND)
     better = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = first.withColumn("r", F.row_number().over(better)).where(F.col("r") == k).select(F.col("query_id").alias("q"), F.col("score").alias("kth"), F.col("vec_id").alias("kth_id"))
-    wide = max(1, -(-asked.count() // BLOCK_QUERIES))
-    shared = asked.join(kth, F.col("vec_id") == F.col("q"), "left").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(wide)))
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    packed = shared.groupBy("block").applyInPandas(pack, block_type).withColumn("shard", everywhere)
-    rest = packed.join(trees, "shard").mapInPandas(partial(visit, seeding=False), _FOUND)
     return (
-        first.unionByName(rest)
+        first.mapInArrow(unpack, _FOUND)
+        .unionByName(rest)
         .withColumn("rank", F.row_number().over(better).cast("int"))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
 
 
-_PARTS = ["ids", "points", "spans", "kids", "centres", "radii", "low_id"]
-_BLOCK = ["q_ids", "q_points", "q_seeds", "q_known", "q_kth", "q_kth_id"]
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch["key"][i].as_py(), batch["shard"][i].as_py(), pickle.loads(batch["blob"][i].as_buffer())
+
+
+def _hits(ids: np.ndarray, best: list) -> pa.RecordBatch:
+    found = [(int(i), -h[1], h[0]) for i, hits in zip(ids, best, strict=True) for h in hits]
+    columns = zip(*found, strict=True) if found else ([], [], [])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])

@@ -171,6 +171,24 @@ def test_topk(spark):
     assert topk_search.search(none, none).count() == 0
 
 
+def test_topk_streams_blocks_past_groups_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "SHARD_ROWS", 8)
+    monkeypatch.setattr(topk_search, "GROUP_SHARDS", 2)
+    rng = np.random.default_rng(9)
+    m = rng.integers(-2, 3, (600, 4)) / 2  # many equal scores
+    m[0] *= 2.0**40  # sums that only whole numbers beyond a double hold
+    v = topk_search.quantised(spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "vec_id long, embedding array<double>"))
+    out = topk_search.search(v, v.where("vec_id % 50 = 0"), 5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # no tree is repeated for each block, no side goes to the driver
+    whole = [[int(x) for x in 256 * r] for r in m]
+    want = []
+    for q in range(0, 600, 50):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], whole[c], strict=True)), c) for c in range(600) if c != q)[:5]
+        want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(best)]
+    assert sorted(map(tuple, out.collect())) == want
+
+
 def test_lm(docs, nothing):
     rows = docs.collect()
     low = {r.doc_id: re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").lower()) for r in rows}
