@@ -15,15 +15,14 @@ Every key has 31 bits or more, so buckets stay short. Fingerprints that share a
 the shortest ones before they leave the task, and components are found by distributed star contraction.
 Everything works on distinct fingerprints: rows that share one, however many, are combined before the shuffle.
 
-``near_duplicates`` links fingerprints alone. ``keep_one_each`` looks for texts whose sets of five-word
-shingles have a Jaccard similarity of 0.8 or more: candidates share a key of one of two fingerprints of
-their distinct words, which change far less than shingles do when words are replaced, and lie within
-10 bits; they are then checked on the whole sets of shingles, so that nothing else is linked. A first
-pass by few keys joins most of a large family; the second leaves out pairs that are joined already. (Of the
-8999 such pairs in the smaller check table, keys of four-word shingles meet about seven in ten, those
-of distinct words 99.5 %; components miss fewer, as they need not every pair.) Of a key that more than
-FEW rows share the links of a shortest tree are checked, so that candidates grow with the rows and not
-with the square of a group; such rows meet again under their other keys, of which each has over 200.
+``near_duplicates`` links fingerprints alone. ``keep_one_each`` finds all texts whose sets of five-word
+shingles have a Jaccard similarity of 0.8 or more, in two passes, both checked on the whole sets of shingles.
+The first takes candidates from the keys of fingerprints of distinct words, which change far less than shingles
+do when words are replaced, within 10 bits; of a key that more than FEW rows share, those along a shortest tree.
+It joins most of every family. The second is the exact way for all the rest, whatever keys they have: shingles
+are put in one order, rare ones first (by counters that are approximate, as any fixed order is right); sets of n and m
+shingles that are alike share one of the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1. Sets that share such
+a shingle, are not in one component by then and can still have enough in common are checked, each pair.
 
 Edge cases: a null text, or one without words, has fingerprint zero and links like any other; fewer
 words than a shingle has make one shingle; null ids never name a component unless all its ids are null;
@@ -34,7 +33,6 @@ null ids last, of rows that share an id and a set the smallest text); an empty t
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import combinations, permutations
@@ -44,7 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
+from pyspark.sql.types import LongType, StructType
 
 from rooflight.llm.shared import as_row, connected_components, look_up, written
 
@@ -53,8 +51,8 @@ MAX_BITS = 4
 #: Of ``keep_one_each``: words of a shingle, the least similarity as a fraction, and the candidates' bits and prints.
 COPY_SHINGLE = 5
 ALIKE = (4, 5)
-CANDIDATE_BITS, CANDIDATE_PRINTS = 10, 2
-#: Up to so many rows of a key are checked pair by pair, more of them along a shortest tree.
+CANDIDATE_BITS = 10
+#: Up to so many rows of a key are checked pair by pair, more of them along a shortest tree. What that leaves out is found by shingles.
 FEW = 9
 SEED = 42
 #: Generator polynomial of the Golay code, and the segments (first bit, bits).
@@ -66,6 +64,8 @@ _ROWS = 1 << 18
 _SMALL = 48  # rows of a key that are compared pair by pair
 #: Sets that a task keeps at hand while it checks pairs.
 _HELD = 256
+#: Counters of shingles, which only decide on the order in which they are looked at.
+_SLOTS = 1 << 20
 
 
 def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
@@ -92,15 +92,10 @@ def _majority(pieces: Iterator[np.ndarray]) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0]) if total else 0
 
 
-def word_prints(text: str | None) -> list[int]:
-    """Independent fingerprints of the whole text's distinct words."""
+def word_print(text: str | None) -> int:
+    """A fingerprint of the whole text's distinct words."""
     h = np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(text, 1)]))
-    out = []
-    for _ in range(CANDIDATE_PRINTS):
-        out.append(_majority(h[a : a + _PIECE] for a in range(0, len(h), _PIECE)))
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(29)
-    return out
+    return _majority(h[a : a + _PIECE] for a in range(0, len(h), _PIECE))
 
 
 def fingerprint(text: str | None) -> int:
@@ -179,15 +174,6 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def plain_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As fuzzy_keys, but six a fingerprint: a segment as it is, and the codeword that another one decodes to."""
-    u = prints.view(np.uint64)
-    seg = [((u >> np.uint64(a)) & np.uint64((1 << n) - 1)).astype(np.int64) for a, n in SEGMENTS]
-    own = [_decoded(s, n)[0] for s, (_, n) in zip(seg, SEGMENTS, strict=True)]
-    keys = [np.int64(tag) << 40 | seg[i] << 12 | own[j] for tag, (i, j) in enumerate(permutations(range(3), 2))]
-    return np.concatenate(keys), np.tile(np.arange(len(prints)), len(keys))
-
-
 def _forest(links: np.ndarray) -> np.ndarray:
     """Of links (distance, a, b), those of a shortest spanning forest."""
     links = np.unique(links, axis=0)  # in order of distance
@@ -211,34 +197,34 @@ def _links(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
     return np.stack([distance.astype(np.int64), np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
-def _tree(prints: np.ndarray, labels: np.ndarray, bits: int) -> np.ndarray:
-    """The links within ``bits`` of a shortest tree that joins one key's rows, one after the other; rows of a label are joined already."""
+def _tree(prints: np.ndarray, bits: int) -> np.ndarray:
+    """The links within ``bits`` of a shortest tree that joins one key's rows, one after the other."""
     n, at = len(prints), 0
     near, via, left = np.full(n, 255, np.uint8), np.zeros(n, np.int64), np.ones(n, bool)
     ends = np.zeros((n - 1, 3), np.int64)
     words = prints.view(np.uint64)
     for i in range(n - 1):
         left[at], near[at] = False, 255
-        d = np.where(labels == labels[at], np.uint8(0), np.bitwise_count(words ^ words[at]))
+        d = np.bitwise_count(words ^ words[at])
         closer = left & (d < near)
         near[closer], via[closer] = d[closer], at
         at = int(np.where(left, near, 255).argmin())
         ends[i] = near[at], via[at], at
-    ends = ends[(ends[:, 0] <= bits) & (labels[ends[:, 1]] != labels[ends[:, 2]])]
+    ends = ends[ends[:, 0] <= bits]
     return _links(prints[ends[:, 1]], prints[ends[:, 2]], ends[:, 0])
 
 
-def _linked(key: np.ndarray, prints: np.ndarray, labels: np.ndarray, bits: int, small: int) -> np.ndarray:
-    """Links within ``bits`` among rows of one key and different labels: all of up to ``small`` rows, a tree's of more. Rows are sorted by key."""
+def _linked(key: np.ndarray, prints: np.ndarray, bits: int, small: int) -> np.ndarray:
+    """Links within ``bits`` among rows of one key: all of up to ``small`` rows, a tree's of more. Rows are sorted by key."""
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.append(first, len(key)))
     found = [np.empty((0, 3), np.int64)]
     for a, n in zip(first[size > small].tolist(), size[size > small].tolist(), strict=True):
-        found.append(_tree(prints[a : a + n], labels[a : a + n], bits))
+        found.append(_tree(prints[a : a + n], bits))
     at, step = np.flatnonzero(np.repeat((size > 1) & (size <= small), size)), 1
     while len(at := at[at < len(key) - step]) and len(at := at[key[at] == key[at + step]]):
         d = np.bitwise_count((prints[at] ^ prints[at + step]).view(np.uint64))
-        hit = (d <= bits) & (labels[at] != labels[at + step])
+        hit = d <= bits
         found.append(_links(prints[at[hit]], prints[at[hit] + step], d[hit]))
         step += 1
     return np.unique(np.concatenate(found), axis=0)
@@ -255,35 +241,30 @@ def with_fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(add, "doc_id long, simhash_print long")
 
 
-def _compared(prints: DataFrame, keys: Callable, bits: int, small: int, thin: bool) -> DataFrame:
-    """(src, dst): links within ``bits`` between the distinct ``fp`` of ``prints`` (fp, label) that share a key, see _linked; thinned to a forest of each task if asked. Without a label all differ."""
-    labelled = "label" in prints.columns
+def _compared(prints: DataFrame, keys: Callable, bits: int, small: int) -> DataFrame:
+    """(src, dst): links within ``bits`` between the distinct ``fp`` of ``prints`` that share a key, see _linked, thinned to a forest of each task."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch["fp"].to_numpy()
-            label = batch["label"].to_numpy() if labelled else fp
             for a in range(0, len(fp), 8192):
                 key, row = keys(fp[a : a + 8192])
-                names = {"key": key, "fp": fp[a + row]}
-                yield pa.RecordBatch.from_pydict(names | ({"label": label[a + row]} if labelled else {}))
+                yield pa.RecordBatch.from_pydict({"key": key, "fp": fp[a + row]})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
         def flush(last: bool) -> pa.RecordBatch:
             nonlocal held, rows
-            key, fp, label = (np.concatenate(x) for x in zip(*held, strict=True))
+            key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
             cut = len(key) if last else int(np.searchsorted(key, key[-1]))
-            held, rows = [(key[cut:], fp[cut:], label[cut:])], len(key) - cut
-            found = _linked(key[:cut], fp[:cut], label[:cut], bits, small)
-            found = _forest(found) if thin else found
+            held, rows = [(key[cut:], fp[cut:])], len(key) - cut
+            found = _forest(_linked(key[:cut], fp[:cut], bits, small))
             return pa.RecordBatch.from_pydict({"src": found[:, 1], "dst": found[:, 2]})
 
         limit = _ROWS
         for batch in batches:
-            fp = batch["fp"].to_numpy()
-            held.append((batch["key"].to_numpy(), fp, batch["label"].to_numpy() if labelled else fp))
+            held.append((batch["key"].to_numpy(), batch["fp"].to_numpy()))
             rows += batch.num_rows
             if rows >= limit:
                 yield flush(False)
@@ -291,13 +272,13 @@ def _compared(prints: DataFrame, keys: Callable, bits: int, small: int, thin: bo
         if rows:
             yield flush(True)
 
-    keyed = prints.select("fp", *["label"] * labelled).mapInArrow(emit, "key long, fp long" + ", label long" * labelled)
+    keyed = prints.select("fp").mapInArrow(emit, "key long, fp long")
     return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "src long, dst long").distinct()
 
 
 def links(prints: DataFrame) -> DataFrame:
     """(src, dst): enough links between the distinct ``fp`` of ``prints`` to connect all within MAX_BITS."""
-    return _compared(prints.select("fp"), fuzzy_keys, MAX_BITS, _SMALL, True)
+    return _compared(prints, fuzzy_keys, MAX_BITS, _SMALL)
 
 
 def components(tagged: DataFrame) -> DataFrame:
@@ -319,21 +300,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def with_set(docs: DataFrame) -> DataFrame:
-    """``row`` (the columns of ``docs``), ``near_set`` (hash of the set of shingles) and ``prints`` (fingerprints of its distinct words)."""
+    """``row`` (the columns of ``docs``), ``near_set`` (hash of the set of shingles) and ``word_print`` (fingerprint of its distinct words)."""
     rows = docs.select(as_row(docs))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).field("text")
             names = np.fromiter((xxhash.xxh3_64_intdigest(shingles(t.as_py()).tobytes()) for t in texts), np.uint64, batch.num_rows)
-            prints = pa.array([word_prints(t.as_py()) for t in texts], pa.list_(pa.int64()))
-            schema = batch.schema.append(pa.field("near_set", pa.int64())).append(pa.field("prints", pa.list_(pa.int64())))
+            prints = pa.array([word_print(t.as_py()) for t in texts], pa.int64())
+            schema = batch.schema.append(pa.field("near_set", pa.int64())).append(pa.field("word_print", pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names.view(np.int64)), prints], schema=schema)
 
-    return rows.mapInArrow(add, StructType([*rows.schema.fields]).add("near_set", LongType()).add("prints", ArrayType(LongType())))
+    return rows.mapInArrow(add, StructType([*rows.schema.fields]).add("near_set", LongType()).add("word_print", LongType()))
 
 
-def _checked(pairs: DataFrame, tagged: DataFrame) -> DataFrame:
+def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (src, dst) of ``near_set`` whose sets of shingles are alike."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,47 +332,164 @@ def _checked(pairs: DataFrame, tagged: DataFrame) -> DataFrame:
             good = pa.array([alike(known(a, x), known(b, y)) for a, b, x, y in ends], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["src"], batch["dst"]], names=["src", "dst"]).filter(good)
 
-    named = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    texts = tagged.join(named, F.col("near_set") == F.col("node"), "left_semi").groupBy("near_set").agg(F.min("row.text").alias("text"))
-    texts = written(texts, "texts")
-    src = texts.select(F.col("near_set").alias("src"), F.col("text").alias("src_text"))
-    dst = texts.select(F.col("near_set").alias("dst"), F.col("text").alias("dst_text"))
+    src = sets.select(F.col("near_set").alias("src"), F.col("text").alias("src_text"))
+    dst = sets.select(F.col("near_set").alias("dst"), F.col("text").alias("dst_text"))
     return pairs.join(src, "src").join(dst, "dst").select("src", "dst", "src_text", "dst_text").mapInArrow(verify, "src long, dst long")
 
 
-def near_copies(tagged: DataFrame) -> DataFrame:
-    """(node, component) of the ``near_set`` of ``tagged`` (as of with_set) that have near copies."""
-    sets = written(tagged.groupBy("near_set").agg(F.min("prints").alias("prints")), "prints")
-    total = sets.count()
+def _slot(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & np.uint64(_SLOTS - 1)).astype(np.int64)
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all ``sets`` fall into each slot."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_SLOTS, np.int64)
+        for batch in batches:
+            held, n = [], 0
+            for t in batch["text"]:
+                held.append(shingles(t.as_py()))
+                n += len(held[-1])
+                if n >= _SLOTS:
+                    total += np.bincount(_slot(np.concatenate(held)), minlength=_SLOTS)
+                    held, n = [], 0
+            if held:
+                total += np.bincount(_slot(np.concatenate(held)), minlength=_SLOTS)
+        at = np.flatnonzero(total.reshape(-1, _PIECE).any(axis=1))
+        yield pa.RecordBatch.from_pydict({"part": pa.array(at, pa.int32()), "counts": pa.array([x.tobytes() for x in total.reshape(-1, _PIECE)[at]], pa.binary())})
+
+    def add(pdf):
+        return pdf.iloc[:1].assign(counts=[sum(np.frombuffer(x, np.int64) for x in pdf.counts).tobytes()])
+
+    shape = "part int, counts binary"
+    out = np.zeros((_SLOTS // _PIECE, _PIECE), np.int64)
+    for r in sets.select("text").mapInArrow(count, shape).groupBy("part").applyInPandas(add, shape).toLocalIterator():
+        out[r.part] = np.frombuffer(r.counts, np.int64)
+    return out.ravel().astype(np.float32)
+
+
+def _prefix(tokens: np.ndarray, frequencies: np.ndarray) -> np.ndarray:
+    """The first of a set's shingles, rare ones first: sets that are alike have one in common among theirs."""
+    n = len(tokens)
+    return tokens[np.lexsort((tokens, frequencies[_slot(tokens)]))[: n - _common(n) + 1]]
+
+
+def _common(size):
+    """How many shingles a set of this size has in common with one that is alike, at least."""
+    return -(-size * ALIKE[0] // ALIKE[1])
+
 
-    def named(k: int) -> tuple[DataFrame, DataFrame]:
-        own = sets.select("near_set", F.col("prints")[k].alias("fp"))
-        return own, written(own.groupBy("fp").agg(F.min("near_set").alias("first"), F.count("*").alias("n")), "first")
+def _enough(common, size: np.ndarray, other: np.ndarray):
+    """Can sets of these sizes be alike if so many shingles are in common?"""
+    return sum(ALIKE) * common >= ALIKE[0] * (size + other)
 
-    def checked(near: list[DataFrame]) -> DataFrame:
-        pairs = functools.reduce(DataFrame.union, near).toDF("a", "b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
-        return written(_checked(written(pairs, "pairs"), tagged), "links")
 
-    # most of a large family comes together by few keys
-    _, first = named(0)
+def _meeting(token: np.ndarray, label: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, thin: bool) -> np.ndarray:
+    """(src, dst, least, n): pairs of nodes of different labels that share n of the tokens. Rows are sorted by token and label.
+
+    If ``thin``, only a token's first and last row are paired with its others, if enough is left to both behind the token.
+    Else all pairs, which must share ``least`` tokens over all keys to be alike: what sets have in common but
+    not in both prefixes is behind the prefix of one of the two.
+    """
+    found = [np.empty((0, 3), np.int64)]
+
+    def put(i: np.ndarray, j: np.ndarray) -> None:
+        most = np.minimum(size[i] - place[i], size[j] - place[j]) if thin else np.minimum(size[i], size[j])
+        may = (label[i] != label[j]) & _enough(most, size[i], size[j])
+        i, j = i[may], j[may]
+        least = -(-(size[i] + size[j]) * ALIKE[0] // sum(ALIKE)) - _common(np.maximum(size[i], size[j])) + 1
+        i, j = node[i], node[j]
+        found.append(np.stack([np.minimum(i, j), np.maximum(i, j), 0 * least if thin else least], axis=1))
+
+    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    count = np.diff(np.append(first, len(token)))
+    mixed = label[first] != label[first + count - 1]
+    if thin:
+        rows = np.flatnonzero(np.repeat(mixed, count))
+        for end in (first, first + count - 1):
+            put(rows, np.repeat(end[mixed], count[mixed]))
+    else:
+        for a, n in zip(first[mixed & (count > _SMALL)].tolist(), count[mixed & (count > _SMALL)].tolist(), strict=True):
+            _, start, many = np.unique(label[a : a + n], return_index=True, return_counts=True)
+            main = int(many.argmax())
+            main, behind = np.arange(a + start[main], a + start[main] + many[main]), a + start[main] + many[main]
+            others = np.r_[a : main[0], behind : a + n]  # rows of the most frequent label meet these only
+            for k, i in enumerate(others):
+                rows = np.concatenate([main, others[k + 1 :]])
+                put(np.full(len(rows), i), rows)
+        at, step = np.flatnonzero(np.repeat(mixed & (count <= _SMALL), count)), 1
+        while len(at := at[at < len(token) - step]) and len(at := at[token[at] == token[at + step]]):
+            put(at, at + step)
+            step += 1
+    pairs, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
+    return np.column_stack([pairs, n])
+
+
+def _sharing(sets: DataFrame, reached: DataFrame, frequencies, thin: bool) -> DataFrame:
+    """(src, dst): all pairs of ``sets`` that may be alike and are not in one component of ``reached`` (node, component); see _meeting."""
+    columns = ["token", "label", "node", "size", "place"]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, n = [], 0
+            for node, label, text in zip(batch["near_set"].to_pylist(), batch["label"].to_pylist(), batch["text"], strict=True):
+                tokens = shingles(text.as_py())
+                if not len(tokens):
+                    continue
+                own = _prefix(tokens, frequencies.value)
+                held.append((own, np.full(len(own), label), np.full(len(own), node), np.full(len(own), len(tokens)), np.arange(len(own))))
+                n += len(own)
+                if n >= _PIECE:
+                    yield rows(held)
+                    held, n = [], 0
+            if held:
+                yield rows(held)
+
+    def rows(held: list) -> pa.RecordBatch:
+        got = [np.concatenate(x) for x in zip(*held, strict=True)]
+        return pa.RecordBatch.from_pydict(dict(zip(columns, [got[0].view(np.int64), *(x.astype(np.int64) for x in got[1:3]), *(x.astype(np.int32) for x in got[3:])], strict=True)))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def flush(last: bool) -> pa.RecordBatch:
+            nonlocal held, n
+            got = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = len(got[0]) if last else int(np.searchsorted(got[0], got[0][-1]))
+            held, n = [[x[cut:] for x in got]], len(got[0]) - cut
+            pairs = _meeting(*(x[:cut].astype(np.int64) for x in got), thin) if cut else np.empty((0, 4), np.int64)
+            return pa.RecordBatch.from_pydict(dict(zip(("src", "dst", "least", "n"), pairs.T.copy(), strict=True)))
+
+        limit = _ROWS
+        for batch in batches:
+            held.append([batch[c].to_numpy() for c in columns])
+            n += batch.num_rows
+            if n >= limit:
+                yield flush(False)
+                limit = _ROWS + 2 * n
+        if n:
+            yield flush(True)
+
+    labelled = sets.select("near_set", "text").join(reached.withColumnRenamed("node", "near_set"), "near_set", "left")
+    listed = labelled.select("near_set", F.coalesce("component", "near_set").alias("label"), "text").mapInArrow(emit, "token long, label long, node long, size int, place int")
+    met = listed.repartition("token").sortWithinPartitions("token", "label").mapInArrow(meet, "src long, dst long, least long, n long")
+    return met.groupBy("src", "dst", "least").agg(F.sum("n").alias("n")).where("n >= least").select("src", "dst")
+
+
+def near_copies(tagged: DataFrame) -> DataFrame:
+    """(node, component) of the ``near_set`` of ``tagged`` (as of with_set) that have near copies."""
+    sets = written(tagged.groupBy("near_set").agg(F.min("row.text").alias("text"), F.min("word_print").alias("fp")), "sets")
+    first = written(sets.groupBy("fp").agg(F.min("near_set").alias("first")), "first")
     a, b = (first.select(F.col("fp").alias(f), F.col("first").alias(x)) for f, x in (("src", "a"), ("dst", "b")))
-    sure = checked([_compared(first, plain_keys, CANDIDATE_BITS, FEW, True).join(a, "src").join(b, "dst").select("a", "b")])
-    reached, near = written(connected_components(sure), "reached"), []
-    for k in range(CANDIDATE_PRINTS):
-        own, first = named(k)
-        # a print of several sets has a label of its own, so that each of them is compared
-        label = F.when(F.col("n") > 1, F.col("fp")).otherwise(F.coalesce("component", "first"))
-        labels = first.join(reached, F.col("first") == F.col("node"), "left").select("fp", label.alias("label"))
-        found = written(_compared(labels, fuzzy_keys, CANDIDATE_BITS, FEW, False), "compared")
-        # prints that few sets share stand for all of them, others for the first, which all of theirs meet
-        ends = look_up(own, first.withColumn("size", F.col("n")), "fp", total).where((F.col("size") <= FEW) | (F.col("near_set") == F.col("first")))
-        ends = written(ends, "ends")
-        a, b = (ends.select(F.col("fp").alias(f), F.col("near_set").alias(x)) for f, x in (("src", "a"), ("dst", "b")))
-        several = ends.where("size > 1")
-        same = several.select("fp", F.col("near_set").alias("a")).join(several.select("fp", F.col("near_set").alias("b")), "fp").where("a < b")
-        many = look_up(own, first.where(F.col("n") > FEW), "fp", total).where("near_set <> first")
-        near += [found.join(a, "src").join(b, "dst").select("a", "b"), same.select("a", "b"), many.select("near_set", "first")]
-    return written(connected_components(sure.union(checked(near))), "reached")
+    pairs = _compared(first, fuzzy_keys, CANDIDATE_BITS, FEW).join(a, "src").join(b, "dst").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))
+    sure = written(_checked(written(pairs.distinct(), "pairs"), sets), "links")
+    reached, frequencies = written(connected_components(sure), "reached"), sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
+    for thin in (True, False):  # what is left of a large family comes together first
+        rest = written(_sharing(sets, reached, frequencies, thin), "pairs")
+        sure = sure.union(written(_checked(rest, sets), "links"))
+        reached = written(connected_components(sure), "reached")
+    return reached
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:

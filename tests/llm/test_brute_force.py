@@ -356,6 +356,31 @@ def test_near_copies_in_large_families(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted(set(head))
 
 
+def test_near_copies_among_many_texts_of_the_same_words(spark):
+    """Two hundred orders of the same words share all keys; only each one's own near copy is alike, whatever a tree or a first row meets."""
+    rng = np.random.default_rng(17)
+    words_ = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(100):
+        order = list(rng.permutation(words_))
+        texts += [" ".join(order), " ".join([*order[:-2], order[-1], order[-2]])]
+    out = simhash.keep_one_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in out.collect()) == list(range(0, 200, 2))
+
+
+def test_alike_sets_meet_by_their_prefixes():
+    """All pairs of alike sets are found, whatever the order of shingles, over few labels in one key too."""
+    rng = np.random.default_rng(18)
+    base = [rng.integers(1 << 62, size=n).astype(np.uint64) for n in (1, 2, 5, 9, 40, 200)]
+    sets = [np.unique(np.where(rng.random(len(b)) < share, rng.integers(1 << 62, size=len(b)).astype(np.uint64), b)) for b in base for share in (0, 0.02, 0.05, 0.08, 0.11, 0.2) for _ in range(12)]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if simhash.alike(sets[i], sets[j]) and i % 3 != j % 3}
+    for counts in (np.zeros(simhash._SLOTS), rng.random(simhash._SLOTS)):
+        rows = [(int(t), i % 3, i, len(s), k) for i, s in enumerate(sets) for k, t in enumerate(simhash._prefix(s, counts))]
+        src, dst, least, n = simhash._meeting(*np.array(sorted(rows)).T, False).T
+        assert want <= set(zip(src[n >= least].tolist(), dst[n >= least].tolist(), strict=True))
+        assert len(want) > 500
+
+
 def test_uses_of_cells_have_room():
     last = packing.chunk_id((1 << 25) - 1, (1 << packing.NUMBER_BITS) - 1)
     assert 0 < piece_lattice.use_of(last, (1 << piece_lattice.CELL_BITS) - 1) < 1 << 63
