@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +42,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     there = jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
-    jvm.System.gc()
+    _release(jvm)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _release(jvm) -> None:
+    """Collect the driver's garbage and give its Python's free memory back to the system, where that can be done."""
+    gc.collect()
+    jvm.System.gc()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def as_row(df: DataFrame):
     """All columns of ``df`` as one struct ``row``, so that no name of theirs meets one of ours."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
