@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +40,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/rooflight/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _settled(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def bucketed(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+    """Like ``written``, as a table in buckets of ``key``, so that joins by it move only the other side.
+
+    The table's name is dropped from the catalog at the end; its files go when the JVM ends.
+    """
+    spark = df.sparkSession
+    table = f"rooflight_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/rooflight/{table}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(table, format="parquet")
+    try:
+        _settled(spark, path)
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def _settled(spark: SparkSession, path: str) -> None:
+    """What is at ``path`` is written: mark it for deletion, let go what its making held."""
     jvm = spark.sparkContext._jvm
     there = jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
     _release(jvm)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def _release(jvm) -> None:

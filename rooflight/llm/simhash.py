@@ -22,7 +22,9 @@ do when words are replaced, within 10 bits; of a key that more than FEW rows sha
 It joins most of every family. The second is the exact way for all the rest, whatever keys they have: shingles
 are put in one order, rare ones first (by counters that are approximate, as any fixed order is right); sets of n and m
 shingles that are alike share one of the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1. Sets that share such
-a shingle, are not in one component by then and can still have enough in common are checked, each pair.
+a shingle with at most MANY others, are not in one component by then and can still have enough in common are checked,
+each pair. A shingle of more sets only says that their components are of one family; families are dealt into
+blocks of sets of like size, and all sets of two blocks are compared at once in one task, which returns links only.
 
 Edge cases: a null text, or one without words, has fingerprint zero and links like any other; fewer
 words than a shingle has make one shingle; null ids never name a component unless all its ids are null;
@@ -44,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from rooflight.llm.shared import as_row, connected_components, look_up, written
+from rooflight.llm.shared import as_row, bucketed, connected_components, look_up, written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -62,6 +64,13 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PIECE = 1 << 16
 _ROWS = 1 << 18
 _SMALL = 48  # rows of a key that are compared pair by pair
+#: Sets that share a rare shingle are paired up to so many; more of them are compared by blocks of so many sets and shingles.
+MANY = 16
+BLOCK = 256
+_BLOCK_TOKENS = 1 << 20
+#: Sizes of sets that are alike are in one class or in neighbouring ones: a little more than 5 / 4.
+_CLASS = 1.26
+_COLUMNS = 1 << 12
 #: Sets that a task keeps at hand while it checks pairs.
 _HELD = 256
 #: Counters of shingles, which only decide on the order in which they are looked at.
@@ -385,49 +394,43 @@ def _enough(common, size: np.ndarray, other: np.ndarray):
     return sum(ALIKE) * common >= ALIKE[0] * (size + other)
 
 
-def _meeting(token: np.ndarray, label: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, thin: bool) -> np.ndarray:
+def _meeting(token: np.ndarray, label: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, many: int) -> np.ndarray:
     """(src, dst, least, n): pairs of nodes of different labels that share n of the tokens. Rows are sorted by token and label.
 
-    If ``thin``, only a token's first and last row are paired with its others, if enough is left to both behind the token.
-    Else all pairs, which must share ``least`` tokens over all keys to be alike: what sets have in common but
-    not in both prefixes is behind the prefix of one of the two.
+    They must share ``least`` tokens over all keys to be alike: what sets have in common but not in both prefixes
+    is behind the prefix of one of the two. Pairs that cannot have enough in common before and behind a token are
+    left out. Tokens of more than ``many`` rows (if not 0) are passed over, see _ties.
     """
     found = [np.empty((0, 3), np.int64)]
-
-    def put(i: np.ndarray, j: np.ndarray) -> None:
-        most = np.minimum(size[i] - place[i], size[j] - place[j]) if thin else np.minimum(size[i], size[j])
+    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    count = np.diff(np.append(first, len(token)))
+    mixed = (label[first] != label[first + count - 1]) & (count <= (many or len(token)))
+    at, step = np.flatnonzero(np.repeat(mixed, count)), 1
+    while len(at := at[at < len(token) - step]) and len(at := at[token[at] == token[at + step]]):
+        i, j = at, at + step
+        most = np.minimum(place[i], place[j]) + np.minimum(size[i] - place[i], size[j] - place[j])
         may = (label[i] != label[j]) & _enough(most, size[i], size[j])
         i, j = i[may], j[may]
         least = -(-(size[i] + size[j]) * ALIKE[0] // sum(ALIKE)) - _common(np.maximum(size[i], size[j])) + 1
         i, j = node[i], node[j]
-        found.append(np.stack([np.minimum(i, j), np.maximum(i, j), 0 * least if thin else least], axis=1))
+        found.append(np.stack([np.minimum(i, j), np.maximum(i, j), least], axis=1))
+        step += 1
+    pairs, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
+    return np.column_stack([pairs, n])
+
 
+def _ties(token: np.ndarray, label: np.ndarray, many: int) -> np.ndarray:
+    """(src, dst, 0, 0): enough ties between labels to connect all that share a token of more than ``many`` rows, sorted as above."""
     first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
     count = np.diff(np.append(first, len(token)))
-    mixed = label[first] != label[first + count - 1]
-    if thin:
-        rows = np.flatnonzero(np.repeat(mixed, count))
-        for end in (first, first + count - 1):
-            put(rows, np.repeat(end[mixed], count[mixed]))
-    else:
-        for a, n in zip(first[mixed & (count > _SMALL)].tolist(), count[mixed & (count > _SMALL)].tolist(), strict=True):
-            _, start, many = np.unique(label[a : a + n], return_index=True, return_counts=True)
-            main = int(many.argmax())
-            main, behind = np.arange(a + start[main], a + start[main] + many[main]), a + start[main] + many[main]
-            others = np.r_[a : main[0], behind : a + n]  # rows of the most frequent label meet these only
-            for k, i in enumerate(others):
-                rows = np.concatenate([main, others[k + 1 :]])
-                put(np.full(len(rows), i), rows)
-        at, step = np.flatnonzero(np.repeat(mixed & (count <= _SMALL), count)), 1
-        while len(at := at[at < len(token) - step]) and len(at := at[token[at] == token[at + step]]):
-            put(at, at + step)
-            step += 1
-    pairs, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
-    return np.column_stack([pairs, n])
+    head, other = np.repeat(label[first], count), np.repeat(count > many, count)
+    other &= (label != head) & np.r_[True, label[1:] != label[:-1]]
+    ties = _forest(_links(head[other], label[other], np.zeros(int(other.sum()), np.int64)))
+    return np.column_stack([ties[:, 1:], np.zeros((len(ties), 2), np.int64)])
 
 
-def _sharing(sets: DataFrame, reached: DataFrame, frequencies, thin: bool) -> DataFrame:
-    """(src, dst): all pairs of ``sets`` that may be alike and are not in one component of ``reached`` (node, component); see _meeting."""
+def _sharing(sets: DataFrame, reached: DataFrame, frequencies) -> DataFrame:
+    """(src, dst, least): all pairs of ``sets`` that may be alike and are not in one component of ``reached`` (node, component), and ties of components (least 0)."""
     columns = ["token", "label", "node", "size", "place"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -458,8 +461,9 @@ def _sharing(sets: DataFrame, reached: DataFrame, frequencies, thin: bool) -> Da
             got = [np.concatenate(x) for x in zip(*held, strict=True)]
             cut = len(got[0]) if last else int(np.searchsorted(got[0], got[0][-1]))
             held, n = [[x[cut:] for x in got]], len(got[0]) - cut
-            pairs = _meeting(*(x[:cut].astype(np.int64) for x in got), thin) if cut else np.empty((0, 4), np.int64)
-            return pa.RecordBatch.from_pydict(dict(zip(("src", "dst", "least", "n"), pairs.T.copy(), strict=True)))
+            got = [x[:cut].astype(np.int64) for x in got]
+            found = np.concatenate([_meeting(*got, MANY), _ties(*got[:2], MANY)]) if cut else np.empty((0, 4), np.int64)
+            return pa.RecordBatch.from_pydict(dict(zip(("src", "dst", "least", "n"), found.T.copy(), strict=True)))
 
         limit = _ROWS
         for batch in batches:
@@ -471,25 +475,95 @@ def _sharing(sets: DataFrame, reached: DataFrame, frequencies, thin: bool) -> Da
         if n:
             yield flush(True)
 
-    labelled = sets.select("near_set", "text").join(reached.withColumnRenamed("node", "near_set"), "near_set", "left")
-    listed = labelled.select("near_set", F.coalesce("component", "near_set").alias("label"), "text").mapInArrow(emit, "token long, label long, node long, size int, place int")
+    listed = _labelled(sets, reached).mapInArrow(emit, "token long, label long, node long, size int, place int")
     met = listed.repartition("token").sortWithinPartitions("token", "label").mapInArrow(meet, "src long, dst long, least long, n long")
-    return met.groupBy("src", "dst", "least").agg(F.sum("n").alias("n")).where("n >= least").select("src", "dst")
+    return met.groupBy("src", "dst", "least").agg(F.sum("n").alias("n")).where("n >= least").select("src", "dst", "least")
+
+
+def _labelled(sets: DataFrame, reached: DataFrame) -> DataFrame:
+    """(near_set, label, text): every set with its component, its own name if it is alone."""
+    labels = reached.select(F.col("node").alias("near_set"), "component")
+    return sets.select("near_set", "text").join(labels, "near_set", "left").select("near_set", F.coalesce("component", "near_set").alias("label"), "text")
+
+
+def _alike_pairs(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """For each of the sets ``a`` and each of ``b``: are they alike?"""
+    size = [np.array([len(x) for x in side], np.int64) for side in (a, b)]
+    tokens = [np.concatenate([np.empty(0, np.uint64), *side]) for side in (a, b)]
+    shared = np.intersect1d(*tokens)
+    both = np.zeros((len(a), len(b)), np.int64)
+    if len(shared):
+        ends = []
+        for t, n in zip(tokens, size, strict=True):
+            at = np.minimum(np.searchsorted(shared, t), len(shared) - 1)
+            hit = shared[at] == t
+            order = np.argsort(at[hit], kind="stable")
+            ends.append((at[hit][order], np.repeat(np.arange(len(n)), n)[hit][order]))
+        for k in range(0, len(shared), _COLUMNS):
+            matrix = []
+            for (at, owner), n in zip(ends, size, strict=True):
+                x, y = np.searchsorted(at, [k, k + _COLUMNS])
+                matrix.append(np.zeros((len(n), min(_COLUMNS, len(shared) - k)), np.float32))
+                matrix[-1][owner[x:y], at[x:y] - k] = 1
+            both += (matrix[0] @ matrix[1].T).astype(np.int64)
+    return _enough(both, size[0][:, None], size[1][None, :])
+
+
+def _within_families(sets: DataFrame, reached: DataFrame, ties: DataFrame) -> DataFrame:
+    """(src, dst): links of all alike pairs of ``sets`` whose components are tied, thinned to a forest of each two blocks.
+
+    A block holds BLOCK sets or so of one family and class of sizes; a component of as many has blocks of its own, which are
+    not compared with each other. Two blocks of one class or of neighbouring ones are compared in one task.
+    """
+    families = connected_components(ties).select(F.col("node").alias("label"), F.col("component").alias("family"))
+    labels = _labelled(sets, reached).select("near_set", "label").join(families, "label")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [shingles(t.as_py()) for t in batch["text"]]
+            columns = [*(batch[c] for c in ("near_set", "label", "family")), pa.array([len(t) for t in tokens], pa.int64()), pa.array([t.tobytes() for t in tokens], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["near_set", "label", "family", "size", "tokens"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        left = table["side"].to_numpy() == 0
+        sides = [table.filter(pa.array(left)), table.filter(pa.array(~left))]
+        sides[1] = sides[1] if len(sides[1]) else sides[0]
+        node, label = ([x[c].to_numpy() for x in sides] for c in ("near_set", "label"))
+        near = _alike_pairs(*([np.frombuffer(t.as_py(), np.uint64) for t in x["tokens"]] for x in sides))
+        i, j = np.nonzero(near & (label[0][:, None] != label[1][None, :]))
+        found = _forest(_links(node[0][i], node[1][j], np.zeros(len(i), np.int64)))
+        return pa.table({"src": found[:, 1], "dst": found[:, 2]})
+
+    held = sets.select("near_set", "text").join(written(labels, "tied"), "near_set").select("near_set", "label", "family", "text")
+    members = written(held.mapInArrow(add, "near_set long, label long, family long, size long, tokens binary").withColumn("class", F.floor(F.log(_CLASS, F.col("size")))), "members")
+    own = members.groupBy("family", "class", "label").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    own = written(own.withColumn("own", F.when(F.col("n") >= BLOCK, F.col("label").cast("string")).otherwise("")), "own")
+    parts = own.groupBy("family", "class", "own").agg(F.ceil(F.greatest(F.sum("n") / BLOCK, F.sum("size") / _BLOCK_TOKENS)).alias("blocks"))
+    part = F.concat_ws("/", "family", "class", "own", "block")
+    parts = written(parts, "parts")
+    blocks = written(parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))).withColumn("part", part), "blocks")
+    a, b = (blocks.select("family", *(F.col(c).alias(c + x) for c in ("class", "own", "part"))) for x in "ab")
+    ahead = (F.col("classb") == F.col("classa") + 1) | (F.col("classb") == F.col("classa")) & (F.col("parta") <= F.col("partb"))
+    two = written(a.join(b, "family").where(ahead & ((F.col("owna") == "") | (F.col("owna") != F.col("ownb")))).select("parta", "partb"), "two")
+    sides = two.select(F.col("parta").alias("part"), "parta", "partb", F.lit(0).alias("side"))
+    sides = sides.unionByName(two.where("parta <> partb").select(F.col("partb").alias("part"), "parta", "partb", F.lit(1).alias("side")))
+    dealt = members.join(own.select("family", "class", "label", "own"), ["family", "class", "label"]).join(parts, ["family", "class", "own"])
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("near_set"), F.col("blocks"))).select(part.alias("part"), "near_set", "label", "tokens")
+    return dealt.join(sides, "part").select("parta", "partb", "side", "near_set", "label", "tokens").groupBy("parta", "partb").applyInArrow(compare, "src long, dst long")
 
 
 def near_copies(tagged: DataFrame) -> DataFrame:
     """(node, component) of the ``near_set`` of ``tagged`` (as of with_set) that have near copies."""
-    sets = written(tagged.groupBy("near_set").agg(F.min("row.text").alias("text"), F.min("word_print").alias("fp")), "sets")
-    first = written(sets.groupBy("fp").agg(F.min("near_set").alias("first")), "first")
-    a, b = (first.select(F.col("fp").alias(f), F.col("first").alias(x)) for f, x in (("src", "a"), ("dst", "b")))
-    pairs = _compared(first, fuzzy_keys, CANDIDATE_BITS, FEW).join(a, "src").join(b, "dst").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))
-    sure = written(_checked(written(pairs.distinct(), "pairs"), sets), "links")
-    reached, frequencies = written(connected_components(sure), "reached"), sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
-    for thin in (True, False):  # what is left of a large family comes together first
-        rest = written(_sharing(sets, reached, frequencies, thin), "pairs")
-        sure = sure.union(written(_checked(rest, sets), "links"))
-        reached = written(connected_components(sure), "reached")
-    return reached
+    with bucketed(tagged.groupBy("near_set").agg(F.min("row.text").alias("text"), F.min("word_print").alias("fp")), "sets", "near_set") as sets:
+        first = written(sets.groupBy("fp").agg(F.min("near_set").alias("first")), "first")
+        a, b = (first.select(F.col("fp").alias(f), F.col("first").alias(x)) for f, x in (("src", "a"), ("dst", "b")))
+        pairs = _compared(first, fuzzy_keys, CANDIDATE_BITS, FEW).join(a, "src").join(b, "dst").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))
+        sure = written(_checked(written(pairs.distinct(), "pairs"), sets), "links")
+        reached, frequencies = written(connected_components(sure), "reached"), sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
+        met = written(_sharing(sets, reached, frequencies), "pairs")
+        sure = sure.union(written(_checked(met.where("least > 0").select("src", "dst"), sets), "links"))
+        sure = sure.union(written(_within_families(sets, reached, met.where("least = 0")), "links"))
+        return written(connected_components(sure), "reached")
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:

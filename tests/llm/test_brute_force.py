@@ -381,6 +381,50 @@ def test_alike_sets_meet_by_their_prefixes():
         assert len(want) > 500
 
 
+@pytest.mark.parametrize("block", (256, 32))
+def test_rows_do_not_grow_with_the_square_of_a_family(spark, monkeypatch, block):
+    """Mutated copies around the least similarity: the components of all pairs, while no table has many rows a text."""
+    rng = np.random.default_rng(19)
+    base, texts = [f"w{i}" for i in range(150)], []
+    for _ in range(400):
+        c = list(base)
+        for at in rng.choice(150, rng.integers(2, 4), replace=False):
+            c[at] = f"new{rng.integers(1 << 30)}"
+        texts.append(" ".join(c))
+    grams = [set(simhash.shingles(t).tolist()) for t in texts]
+    head = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if head[i] != head[j] and 9 * len(grams[i] & grams[j]) >= 4 * (len(grams[i]) + len(grams[j])):
+                a, b = head[i], head[j]
+                head = [min(a, b) if h in (a, b) else h for h in head]
+    assert 10 < len(set(head)) < 300
+    rows, written = {}, simhash.written
+
+    def counted(df, name):
+        out = written(df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "written", counted)
+    monkeypatch.setattr(simhash, "BLOCK", block, raising=False)
+    monkeypatch.setattr(simhash, "_compared", lambda first, *_: first.selectExpr("fp src", "fp dst").where("false"))  # the exact way has all to do
+    out = simhash.keep_one_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in out.collect()) == sorted(set(head))
+    assert max(rows.values()) <= 20 * len(texts), rows
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("rooflight")]
+
+
+def test_sets_of_two_blocks_are_compared_exactly(monkeypatch):
+    monkeypatch.setattr(simhash, "_COLUMNS", 7)
+    rng = np.random.default_rng(20)
+    base = [rng.integers(1 << 62, size=n).astype(np.uint64) for n in (1, 2, 5, 40)]
+    sets = [np.unique(np.where(rng.random(len(b)) < share, rng.integers(1 << 62, size=len(b)).astype(np.uint64), b))[k:] for b in base for share in (0, 0.05, 0.1, 0.2) for k in (0, 1, 4)]
+    sets = [x for x in sets if len(x)]
+    want = [[simhash.alike(x, y) for y in sets[5:]] for x in sets]
+    assert (simhash._alike_pairs(sets, sets[5:]) == np.array(want)).all() and 20 < np.sum(want) < len(sets) ** 2 / 2
+
+
 def test_uses_of_cells_have_room():
     last = packing.chunk_id((1 << 25) - 1, (1 << packing.NUMBER_BITS) - 1)
     assert 0 < piece_lattice.use_of(last, (1 << piece_lattice.CELL_BITS) - 1) < 1 << 63
