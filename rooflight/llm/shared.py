@@ -8,6 +8,8 @@ import gc
 import uuid
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,15 +68,36 @@ def _settled(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     there = jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
-    _release(jvm)
+    _release(spark)
 
 
-def _release(jvm) -> None:
-    """Collect the driver's garbage and give its Python's free memory back to the system, where that can be done."""
+def _release(spark: SparkSession) -> None:
+    """Collect the driver's garbage and give the free memory of its Python and its JVM back to the system, where that can be done."""
     gc.collect()
-    jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
+    trim_native(spark)
+
+
+def trim_native(spark: SparkSession) -> str | None:
+    """Let the driver's JVM return the native memory that it has freed (compilers, buffers), which it else keeps; None where it cannot."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+
+    def array(kind, *items):
+        out = gateway.new_array(kind, len(items))
+        for i, x in enumerate(items):
+            out[i] = x
+        return out
+
+    with contextlib.suppress(Py4JError, PySparkException, TypeError):
+        class_ = jvm.java.lang.Class
+        kinds = ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")
+        invoke = class_.forName("javax.management.MBeanServer").getMethod("invoke", array(class_, *map(class_.forName, kinds)))
+        command = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        return invoke.invoke(server, array(jvm.Object, command, "systemTrimNativeHeap", None, None))
+    return None
 
 
 def as_row(df: DataFrame):

@@ -7,7 +7,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
-from rooflight.llm import piece_lattice, quality
+from rooflight.llm import piece_lattice, quality, shared
 
 #: Names that the stages use or used themselves.
 NAMES = "row quality_score simhash_print near_set near_size near_bands prints fp node component mix_p mix_times mix_copies mix_copy mix_before mix_at mix_h mix_i mix_words copies times pattern size p cut_hash cut_id h i n hot_key digest best_uid neg_len own_id stay_id doc label ids".split()
@@ -73,3 +73,11 @@ def test_run(spark, tables):
         docs = stage(spark, docs, tables)
     assert Counter(map(str, out.collect())) == Counter(map(str, docs.collect()))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_driver_gives_native_memory_back(spark, monkeypatch):
+    """After each written table."""
+    said, trim = [], shared.trim_native
+    monkeypatch.setattr(shared, "trim_native", lambda s: said.append(trim(s)))
+    assert shared.written(spark.range(5), "five").count() == 5
+    assert len(said) == 1 and (said[0] is None or "native heap" in said[0])
